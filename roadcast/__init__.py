@@ -1,0 +1,6 @@
+"""Staging, profiling and enrichment of incident records on Spark DataFrames."""
+
+from roadcast.session import build_session
+from roadcast.specs import BASIC, DATASETS, DETAILS, DatasetSpec
+
+__all__ = ["BASIC", "DATASETS", "DETAILS", "DatasetSpec", "build_session"]

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,7 +55,7 @@ def with_lineage(df: DataFrame, run_date: date, source: str | Column, load_ts: d
 def _rules(spec: DatasetSpec, column: str) -> list[tuple[str, Column]]:
     """Rule name and failure test of one column, in the order they are checked."""
     value = text.cell(F.col(column))
-    rules = [("invalid_utf8", F.contains(F.col(column), F.lit("�")))]
+    rules = [("invalid_utf8", F.coalesce(F.contains(F.col(column), F.lit("\ufffd")), F.lit(False)))]
     if column in spec.required:
         rules.append(("required", value.isNull()))
     if column in spec.integers:
@@ -84,6 +86,11 @@ def find_violations(raw: DataFrame, spec: DatasetSpec, keep: Sequence[str] = ("r
     return raw.select(*keep, F.explode(F.array_compact(F.array(*broken))).alias("v")).select(*keep, "v.*")
 
 
+def row_is_broken(spec: DatasetSpec) -> Column:
+    """True when any cell of the row breaks a rule."""
+    return reduce(or_, [failed for c in spec.columns for _, failed in _rules(spec, c)])
+
+
 def first_violation(violations: DataFrame, row_order: Sequence[str] = ("row_num",)) -> DataFrame:
     """The earliest broken rule, by row and then by table column order (a top-1, no full sort)."""
     return violations.orderBy(*row_order, "col_ord").limit(1)

@@ -1,0 +1 @@
+"""The four jobs, composed from sources, operators and sinks."""
