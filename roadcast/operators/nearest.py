@@ -114,7 +114,8 @@ def _from_array(points: DataFrame, stations: DataFrame, lat: str, lon: str) -> D
             ),
         )
 
-    return points.withColumn("_at", _xyz(F.col(lat), F.col(lon))).withColumn("nearest", best(table))
+    located = points.withColumns({"_at": _xyz(F.col(lat), F.col(lon)), "_stations": table})
+    return located.withColumn("nearest", best(F.col("_stations")))
 
 
 def _cell(point: Column, level: int) -> Column:
