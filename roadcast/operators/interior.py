@@ -23,13 +23,13 @@ def outline_parts(outline: DataFrame) -> DataFrame:
 
 
 def outline_summary(parts: DataFrame) -> DataFrame:
-    """Part count, geometry type, total area and the largest part (first one on a tie) per area."""
+    """Part count, geometry type, total area and the largest part (the westernmost on a tie) per area."""
     return parts.groupBy("beat").agg(
         F.count("*").alias("n_parts"),
         F.sum("area").alias("area"),
         F.when(F.count("*") == 1, "Polygon").otherwise("MultiPolygon").alias("geometry_type"),
         F.min_by(
-            F.struct("part", "min_x", "max_x", "min_y", "max_y"), F.struct(-F.col("area"), F.col("part"))
+            F.struct("part", "min_x", "max_x", "min_y", "max_y"), F.struct(-F.col("area"), F.col("min_x"), F.col("min_y"), F.col("part"))
         ).alias("largest"),
     )
 
