@@ -39,19 +39,16 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
 def component_labels(links: DataFrame) -> DataFrame:
     """``a, b`` pairs in, ``node, component`` out for every linked node.
 
-    The component is the least node in it. Rounds run until the link table stops
-    changing, compared by row count and hash sum; every round is checkpointed, so a
+    The component is the least node in it. Rounds run until every node hangs on a
+    root, which simple links do from the start; every round is checkpointed, so a
     lost executor costs one round.
     """
-    current = checkpointed(links.filter(F.col("a") != F.col("b")).distinct())
-    state = _fingerprint(current)
-    while state[0]:
-        stepped = checkpointed(_star(_star(current, larger=True), larger=False))
-        new_state = _fingerprint(stepped)
-        current = stepped
-        if new_state == state:
-            break
-        state = new_state
+    apart = links.filter(F.col("a") != F.col("b"))
+    current = checkpointed(
+        apart.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    )
+    while not _hang_on_roots(current):
+        current = checkpointed(_star(_star(current, larger=True), larger=False))
     return (
         current.select(F.col("a").alias("node"), F.col("b").alias("component"))
         .union(current.select(F.col("b").alias("node"), F.col("b").alias("component")))
@@ -59,9 +56,10 @@ def component_labels(links: DataFrame) -> DataFrame:
     )
 
 
-def _fingerprint(links: DataFrame) -> tuple[int, int]:
-    # remainders keep the sum of 64-bit hashes away from overflow
-    row = links.agg(
-        F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % F.lit(1 << 31)).alias("h")
-    ).first()
-    return row.n, row.h
+def _hang_on_roots(links: DataFrame) -> bool:
+    """True when each ``a`` has one ``b`` and no ``b`` is itself an ``a``."""
+    sides = links.select(F.col("a").alias("node"), F.lit(1).alias("up")).union(
+        links.select(F.col("b").alias("node"), F.lit(0).alias("up"))
+    )
+    per_node = sides.groupBy("node").agg(F.sum("up").alias("ups"), F.count("*").alias("n"))
+    return per_node.filter("ups > 1 OR (ups = 1 AND n > 1)").isEmpty()

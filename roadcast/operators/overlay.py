@@ -19,7 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadcast.functions.numeric import let
 from roadcast.functions.polygon import oriented_segments
 from roadcast.operators.components import component_labels
 from roadcast.session import checkpointed
@@ -52,8 +51,6 @@ def union_outline(features: DataFrame, feature_id: str = "feature_index") -> Dat
     crowded = all_pieces.groupBy("beat").agg(F.count("*").alias("n")).filter("n > 1").select("beat")
     lone = _piece_edges(all_pieces.join(crowded, "beat", "left_anti")).withColumnRenamed("piece", "part")
     shared = _piece_edges(all_pieces.join(crowded, "beat", "left_semi"))
-    if shared.isEmpty():
-        return lone
     return lone.unionByName(_merge(shared))
 
 
@@ -80,17 +77,14 @@ def _merge(edges: DataFrame) -> DataFrame:
     segments = checkpointed(
         owned.groupBy("beat", *SEG).agg(F.sum("way").alias("net"), F.min("piece").alias("piece"))
     )
-    grid = checkpointed(
-        segments.groupBy("beat").agg(
-            # geometric mean of extents: cell registrations stay near the edge count
-            F.exp(F.avg(F.log(F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay")))))).alias("g")
-        )
-    )
-    cuts = checkpointed(_cut(segments, grid))
+    # geometric mean of extents: cell registrations stay near the edge count
+    extent = F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay")))
+    grid = segments.groupBy("beat").agg(F.exp(F.avg(F.log(extent))).alias("g"))
+    cuts = checkpointed(_cut(segments.join(grid, "beat")))
     cut_edges = checkpointed(
-        cuts.groupBy("beat", *SEG).agg(F.sum("net").alias("net"), F.min("piece").alias("piece"))
+        cuts.groupBy("beat", "g", *SEG).agg(F.sum("net").alias("net"), F.min("piece").alias("piece"))
     )
-    sided = checkpointed(_coverage(cut_edges, grid))
+    sided = checkpointed(_coverage(cut_edges))
     same_edge = (
         _owner_links(owned, segments)
         .unionByName(_owner_links(cuts, cut_edges))
@@ -130,8 +124,8 @@ def _owner_links(rows: DataFrame, grouped: DataFrame) -> DataFrame:
     )
 
 
-def _cells(df: DataFrame, grid: DataFrame) -> DataFrame:
-    """Register every edge in each grid cell it passes, column by column."""
+def _cells(df: DataFrame) -> DataFrame:
+    """Register every edge in each grid cell it passes, column by column; ``g`` is the cell size."""
     g, pad = F.col("g"), F.col("g") * PAD
     ax, ay, bx, by = (F.col(c) for c in SEG)
 
@@ -147,10 +141,8 @@ def _cells(df: DataFrame, grid: DataFrame) -> DataFrame:
         )
 
     columns = F.sequence(F.floor((ax - pad) / g), F.floor((bx + pad) / g))
-    return (
-        df.join(grid, "beat")
-        .select(*df.columns, "g", F.explode(F.flatten(F.transform(columns, column_cells))).alias("cell"))
-        .select(*df.columns, "g", "cell.cx", "cell.cy")
+    return df.select(*df.columns, F.explode(F.flatten(F.transform(columns, column_cells))).alias("cell")).select(
+        *df.columns, "cell.cx", "cell.cy"
     )
 
 
@@ -165,9 +157,9 @@ def _side(px: Column, py: Column, qx: Column, qy: Column, rx: Column, ry: Column
     return F.when(F.abs(first - second) <= bound, F.lit(0)).otherwise(F.signum(first - second).cast("int"))
 
 
-def _cut(segments: DataFrame, grid: DataFrame) -> DataFrame:
+def _cut(segments: DataFrame) -> DataFrame:
     """Split every segment where another one of the area touches or crosses it."""
-    cells = _cells(segments.select("beat", *SEG), grid).drop("g")
+    cells = _cells(segments.select("beat", "g", *SEG)).drop("g")
     other = cells.select("beat", "cx", "cy", *[F.col(c).alias(f"o{c}") for c in SEG])
     ax, ay, bx, by = (F.col(c) for c in SEG)
     ox, oy, px, py = (F.col(f"o{c}") for c in SEG)
@@ -231,12 +223,12 @@ def _cut(segments: DataFrame, grid: DataFrame) -> DataFrame:
         .filter(F.col("x1").isNotNull() & ((F.col("x0") != F.col("x1")) | (F.col("y0") != F.col("y1"))))
         .join(segments, ["beat", *SEG])
     )
-    return _canonical(spans, "beat", "piece", "net").select(
-        "beat", "piece", *SEG, (F.col("net") * F.col("way")).alias("net")
+    return _canonical(spans, "beat", "g", "piece", "net").select(
+        "beat", "g", "piece", *SEG, (F.col("net") * F.col("way")).alias("net")
     )
 
 
-def _coverage(edges: DataFrame, grid: DataFrame) -> DataFrame:
+def _coverage(edges: DataFrame) -> DataFrame:
     """Add how many pieces cover the left and the right side of every edge a to b.
 
     The count at an edge's middle follows a path inside its cell: east to the cell's
@@ -244,55 +236,43 @@ def _coverage(edges: DataFrame, grid: DataFrame) -> DataFrame:
     top line of the row of cells. Points are taken a hair up and right, so a path
     never runs through a vertex or along an edge.
     """
-    ax, ay, bx, by = (F.col(c) for c in SEG)
-    cells = checkpointed(_cells(edges.select("beat", *SEG, "net"), grid))
-    east, north = (F.col("cx") + 1) * F.col("g"), (F.col("cy") + 1) * F.col("g")
-    west_border = F.col("cx") * F.col("g")
-
-    def turn(x: Column, y: Column) -> Column:
-        """Side of the point just above and right of (x, y); never 0."""
-        return let(
-            (bx - ax) * (y - ay) - (by - ay) * (x - ax),
-            lambda d: F.when(d > 0, 1).when(d < 0, -1).when(bx > ax, 1).otherwise(-1),
-        )
+    cells = checkpointed(_cells(edges.select("beat", "g", *SEG, "net")))
+    east, north, west = "((cx + 1) * g)", "((cy + 1) * g)", "(cx * g)"
+
+    # The tests are SQL text because each is used several times with other points.
+    def turn(x: str, y: str) -> str:
+        """Side of the edge on which the point just above and right of (x, y) lies; never 0."""
+        d = f"((bx - ax) * ({y} - ay) - (by - ay) * ({x} - ax))"
+        return f"(CASE WHEN {d} > 0 THEN 1 WHEN {d} < 0 THEN -1 WHEN bx > ax THEN 1 ELSE -1 END)"
 
-    def is_west(x: Column, y: Column) -> Column:
-        return F.when(by > ay, turn(x, y) > 0).otherwise(turn(x, y) < 0)
+    def is_west(x: str, y: str) -> str:
+        return f"({turn(x, y)} = CASE WHEN by > ay THEN 1 ELSE -1 END)"
 
-    def spans_height(y: Column) -> Column:
-        return (ay > y) != (by > y)
+    def spans_height(y: str) -> str:
+        return f"((ay > {y}) <> (by > {y}))"
 
-    upward = F.when(by > ay, F.col("net")).otherwise(-F.col("net"))
-    on_top = F.when(
-        spans_height(north) & is_west(west_border, north) & ~is_west(east, north), upward
-    ).otherwise(0)
-    per_cell = cells.groupBy("beat", "cx", "cy").agg(F.sum(on_top).alias("passing"))
+    upward = "CASE WHEN by > ay THEN net ELSE -net END"
+    on_top = f"CASE WHEN {spans_height(north)} AND {is_west(west, north)} AND NOT {is_west(east, north)} THEN {upward} ELSE 0 END"
+    per_cell = cells.groupBy("beat", "cx", "cy").agg(F.sum(F.expr(on_top)).alias("passing"))
     eastward = Window.partitionBy("beat", "cy").orderBy(F.desc("cx")).rowsBetween(Window.unboundedPreceding, -1)
     corners = per_cell.select(
         "beat", "cx", "cy", F.coalesce(F.sum("passing").over(eastward), F.lit(0)).alias("corner_cover")
     )
-    middles = (
-        edges.join(grid, "beat")
-        .select(
-            "beat",
-            *[F.col(c).alias(f"m{c}") for c in SEG],
-            F.col("net").alias("m_net"),
-            F.col("piece"),
-            ((ax + bx) / 2).alias("mx"),
-            ((ay + by) / 2).alias("my"),
-            "g",
-        )
-        .withColumns({"cx": F.floor(F.col("mx") / F.col("g")), "cy": F.floor(F.col("my") / F.col("g"))})
-        .drop("g")
+    middles = edges.selectExpr(
+        "beat",
+        *[f"{c} AS m{c}" for c in SEG],
+        "net AS m_net",
+        "piece",
+        "(ax + bx) / 2 AS mx",
+        "(ay + by) / 2 AS my",
+        "floor((ax + bx) / 2 / g) AS cx",
+        "floor((ay + by) / 2 / g) AS cy",
     )
-    mx, my = F.col("mx"), F.col("my")
-    own = (F.col("max") == ax) & (F.col("may") == ay) & (F.col("mbx") == bx) & (F.col("mby") == by)
-    to_border = F.when(spans_height(my) & is_west(mx, my) & ~is_west(east, my), upward).otherwise(0)
-    to_corner = F.when(
-        ((ax > east) != (bx > east)) & (turn(east, my) < 0) & (turn(east, north) > 0), F.col("net")
-    ).otherwise(0)
+    own = " AND ".join(f"m{c} = {c}" for c in SEG)
+    to_border = f"CASE WHEN {spans_height('my')} AND {is_west('mx', 'my')} AND NOT {is_west(east, 'my')} THEN {upward} ELSE 0 END"
     # going up across an edge adds its net cover, so the lower point has that much less
-    step = F.when(own, -to_corner).otherwise(to_border - to_corner)
+    to_corner = f"CASE WHEN (ax > {east}) <> (bx > {east}) AND {turn(east, 'my')} < 0 AND {turn(east, north)} > 0 THEN net ELSE 0 END"
+    step = F.expr(f"CASE WHEN {own} THEN 0 ELSE {to_border} END - {to_corner}")
     keys = ["beat", "max", "may", "mbx", "mby", "m_net", "piece", "cx", "cy"]
     summed = middles.join(cells, ["beat", "cx", "cy"]).groupBy(*keys).agg(F.sum(step).alias("inner_cover"))
     one_side = summed.join(corners, ["beat", "cx", "cy"]).select(
@@ -303,9 +283,13 @@ def _coverage(edges: DataFrame, grid: DataFrame) -> DataFrame:
         (F.col("inner_cover") + F.col("corner_cover")).alias("cover"),
     )
     # `cover` is the east side, or the upper side of a level edge
-    left = F.when(by > ay, F.col("cover") + F.col("net")).otherwise(F.col("cover"))
-    right = F.when(by > ay, F.col("cover")).otherwise(F.col("cover") - F.col("net"))
-    return one_side.select("beat", *SEG, "piece", left.alias("left_cover"), right.alias("right_cover"))
+    return one_side.selectExpr(
+        "beat",
+        *SEG,
+        "piece",
+        "CASE WHEN by > ay THEN cover + net ELSE cover END AS left_cover",
+        "CASE WHEN by > ay THEN cover ELSE cover - net END AS right_cover",
+    )
 
 
 def _wedge_links(sided: DataFrame) -> DataFrame:
