@@ -113,28 +113,34 @@ def typed_features(features: DataFrame) -> DataFrame:
     )
 
 
-def _conflicting(value: str) -> Column:
-    """More than one value in the group, a null counting as a value."""
-    mixed_null = (F.count(value) > 0) & (F.count(value) < F.count("*"))
-    return F.coalesce(F.min(value) != F.max(value), F.lit(False)) | mixed_null
-
-
 def consolidate(features: DataFrame) -> DataFrame:
     """One row per area with its attributes and the conflicts found.
 
     A conflict resolves to the value whose text sorts first, a non-null one if there
-    is any; for names, to the least. Strict callers reject rows with a conflict.
+    is any; for names, to the least. A null counts as a value of ``div`` and ``serv``
+    but not of ``name``. Strict callers reject rows with a conflict.
+
+    Features are first reduced to the distinct attribute combinations of an area, by
+    a hash aggregate that combines before the shuffle, and those to one row.
     """
+    combinations = features.groupBy("beat", "div", "serv", "name").agg(
+        F.count("*").alias("n"), F.min("objectid").alias("objectid")
+    )
+
+    def conflicting(value: str) -> Column:
+        mixed_null = (F.count(value) > 0) & (F.count(value) < F.count("*"))
+        return F.coalesce(F.min(value) != F.max(value), F.lit(False)) | mixed_null
+
     by_text = lambda v: F.min(F.col(v).cast("string")).cast("bigint")
-    return features.groupBy("beat").agg(
+    return combinations.groupBy("beat").agg(
         F.min("objectid").alias("objectid"),
-        F.count("*").alias("source_feature_count"),
-        F.count_if(F.col("name").isNull()).alias("source_null_name_count"),
+        F.sum("n").alias("source_feature_count"),
+        F.sum(F.when(F.col("name").isNull(), F.col("n")).otherwise(0)).alias("source_null_name_count"),
         by_text("div").alias("div"),
         by_text("serv").alias("serv"),
         F.min("name").alias("name"),
-        _conflicting("div").alias("div_conflict"),
-        _conflicting("serv").alias("serv_conflict"),
+        conflicting("div").alias("div_conflict"),
+        conflicting("serv").alias("serv_conflict"),
         F.coalesce(F.min("name") != F.max("name"), F.lit(False)).alias("name_conflict"),
     )
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from roadcast.functions.geodesic import earth_xyz, geodesic_km
 from roadcast.functions.numeric import let
+from roadcast.session import checkpointed
 
 # Up to this many stations travel with the plan as one array; beyond it they stay
 # distributed and are found through cells.
@@ -22,8 +23,9 @@ MAX_INLINE_STATIONS = 2_000
 # spans at most the arc 2 r asin(c / 2 r) (Schur's comparison theorem).
 TIGHTEST_RADIUS = 6.33e6
 FAR = 4.0e7  # longer than any geodesic
-# Earth-centred cubes of 2**(24 - level) metres: 1049 km down to 16 m.
-LEVELS = (4, 8, 12, 16, 20)
+# Earth-centred cubes of 2**(24 - level) metres: 4194 km down to 64 m. A cube of one
+# level holds 16**3 of the next, and the top level has 4**3 in all.
+LEVELS = (2, 6, 10, 14, 18)
 _OFFSET, _SPAN = float(1 << 23), 24
 
 
@@ -129,36 +131,26 @@ def _from_cells(points: DataFrame, stations: DataFrame, keys: list[str], lat: st
     A cube is kept while its stations' bounding box is no farther than the longest
     geodesic to a station already known, so the answer is exact for any station list.
     """
-    sites = (
+    sites = checkpointed(
         # of stations at one position only the first listed can win
         stations.groupBy("lat", "lon")
         .agg(F.min(F.struct("ordinal", "station_id", "name", "location")).alias("s"))
         .withColumn("at", _xyz(F.col("lat"), F.col("lon")))
     )
     top = sites.groupBy(_cell(F.col("at"), LEVELS[0]).alias("cell")).agg(*_box())
-    # at most 16**3 cubes on the top level, so this array has a fixed bound
+    # at most 4**3 cubes on the top level, so this array has a fixed bound
     roots = top.agg(F.collect_list(F.struct("cell", "low", "high", "some"))).scalar()
-    # pruned inside the row, so a point starts with the few cubes that can matter
-    start = points.select(*keys, lat, lon, _xyz(F.col(lat), F.col(lon)).alias("p")).withColumn("roots", roots)
-    reach = _longest_geodesic(F.array_min(F.transform("roots", lambda c: _chord(F.col("p"), c["some"]))))
-    frontier = (
-        start.withColumn("reach", reach)
-        .withColumn(
-            "c", F.explode(F.filter("roots", lambda c: _gap(F.col("p"), c["low"], c["high"]) <= F.col("reach")))
-        )
-        .select(*keys, lat, lon, "p", "c.cell", "reach")
-    )
+    at_point = points.select(*keys, lat, lon, _xyz(F.col(lat), F.col(lon)).alias("p"), F.lit(FAR).alias("reach"))
+    frontier = _descend(at_point.withColumn("inner", roots), keys)
     for parent, level in zip(LEVELS, LEVELS[1:]):
-        children = sites.groupBy(
+        boxes = sites.groupBy(
             _cell(F.col("at"), parent).alias("cell"), _cell(F.col("at"), level).alias("child")
         ).agg(*_box())
-        frontier = _prune(
-            frontier.select(*keys, lat, lon, "p", "cell")
-            .join(children, "cell")
-            .drop("cell")
-            .withColumnRenamed("child", "cell"),
-            keys,
+        # at most 16**3 inner cubes per cube
+        inner = boxes.groupBy("cell").agg(
+            F.collect_list(F.struct(F.col("child").alias("cell"), "low", "high", "some")).alias("inner")
         )
+        frontier = _descend(frontier.join(inner, "cell").drop("cell"), keys)
     leaves = sites.select(
         _cell(F.col("at"), LEVELS[-1]).alias("cell"), "at", "s", F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon")
     )
@@ -184,14 +176,25 @@ def _gap(p: Column, low: Column, high: Column) -> Column:
     return F.sqrt(reduce(lambda total, side: total + side * side, sides, F.lit(0.0)))
 
 
-def _prune(frontier: DataFrame, keys: list[str]) -> DataFrame:
-    """Drop cubes farther away than the best station already known for the point."""
-    p = F.col("p")
-    known = _longest_geodesic(_chord(p, F.col("some")))
-    return (
-        frontier.withColumns(
-            {"near": _gap(p, F.col("low"), F.col("high")), "reach": F.min(known).over(Window.partitionBy(*keys))}
-        )
-        .filter(F.col("near") <= F.col("reach"))
-        .drop("near", "low", "high", "some")
+def _descend(frontier: DataFrame, keys: list[str]) -> DataFrame:
+    """Replace each cube by those ``inner`` cubes that may hold the nearest station.
+
+    Most fall away inside the row, before any row is made for them; the rest are
+    measured against the best station known from the point's other cubes.
+    """
+    # `let` computes the point once per row, not once per inner cube
+    closest = let(F.col("p"), lambda p: F.array_min(F.transform("inner", lambda c: _chord(p, c["some"]))))
+    gaps = let(
+        F.col("p"),
+        lambda p: F.transform(
+            "inner", lambda c: F.struct(c["cell"].alias("cell"), _gap(p, c["low"], c["high"]).alias("gap"))
+        ),
+    )
+    carried = [c for c in frontier.columns if c not in ("reach", "inner")]
+    kept = (
+        frontier.select(*carried, "inner", "reach", closest.alias("closest"))
+        .select(*carried, "inner", F.least("reach", _longest_geodesic(F.col("closest"))).alias("reach"))
+        .select(*carried, "reach", F.explode(F.filter(gaps, lambda c: c["gap"] <= F.col("reach"))).alias("c"))
+        .withColumn("reach", F.min("reach").over(Window.partitionBy(*keys)))
     )
+    return kept.filter(F.col("c.gap") <= F.col("reach")).select(*carried, "reach", "c.cell")

@@ -53,13 +53,14 @@ def grain_check(df: DataFrame, key: str) -> DataFrame:
 def null_percentages(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Percentage of nulls per column to two decimals, highest first.
 
-    All columns come from one aggregate over one scan; only its single row is unpivoted.
+    All columns come from one aggregate over one scan; only its single row is unpivoted,
+    so the result is one partition and needs no exchange to be in order.
     """
     columns = list(columns or df.columns)
     shares = df.agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in columns])
     return (
         shares.unpivot([], columns, "column_name", "share")
-        .orderBy(F.desc("share"), "column_name")
+        .sortWithinPartitions(F.desc("share"), "column_name")
         .select("column_name", round_scaled(F.col("share") * 100, 2).alias("null_pct"))
     )
 

@@ -20,19 +20,37 @@ from roadcast.functions import text
 from roadcast.specs import DatasetSpec
 
 
-def typed_cell(spec: DatasetSpec, column: str) -> Column:
-    """The cell as it is stored: trimmed, blank to null, cast; a failed cast is null."""
-    value = text.cell(F.col(column))
-    if column in spec.integers:
-        return text.parse_int(value)
-    if column in spec.timestamps:
-        return text.parse_timestamp(value)
-    return value
+def _parsed(raw: DataFrame, spec: DatasetSpec, keep: Sequence[str]) -> DataFrame:
+    """Each column as trimmed text, and under ``_typed_`` as its cast value where it has a type.
+
+    Two projections, so that every cell is trimmed once and cast once however many
+    rules look at it.
+    """
+    cells = raw.select(*keep, *[text.cell(F.col(c)).alias(c) for c in spec.columns])
+    return cells.select(
+        "*",
+        *[text.parse_int(F.col(c)).alias(f"_typed_{c}") for c in spec.columns if c in spec.integers],
+        *[text.parse_timestamp(F.col(c)).alias(f"_typed_{c}") for c in spec.columns if c in spec.timestamps],
+    )
+
+
+def _stored(spec: DatasetSpec) -> list[Column]:
+    typed = spec.integers | spec.timestamps
+    return [F.col(f"_typed_{c}").alias(c) if c in typed else F.col(c) for c in spec.columns]
 
 
 def normalize(raw: DataFrame, spec: DatasetSpec, keep: Sequence[str] = ()) -> DataFrame:
-    """Columns in table order, typed. ``keep`` carries extra input columns along."""
-    return raw.select(*keep, *[typed_cell(spec, c).alias(c) for c in spec.columns])
+    """Columns in table order: trimmed, blank to null, cast (a failed cast is null).
+
+    ``keep`` carries extra input columns along.
+    """
+    return _parsed(raw, spec, keep).select(*keep, *_stored(spec))
+
+
+def normalize_and_flag(raw: DataFrame, spec: DatasetSpec, keep: Sequence[str] = ()) -> DataFrame:
+    """``normalize`` plus ``_broken``: whether any cell of the row breaks a rule."""
+    broken = reduce(or_, [failed for c in spec.columns for _, failed in _rules(spec, c)])
+    return _parsed(raw, spec, keep).select(*keep, *_stored(spec), broken.alias("_broken"))
 
 
 def with_lineage(df: DataFrame, run_date: date, source: str | Column, load_ts: datetime) -> DataFrame:
@@ -53,15 +71,14 @@ def with_lineage(df: DataFrame, run_date: date, source: str | Column, load_ts: d
 
 
 def _rules(spec: DatasetSpec, column: str) -> list[tuple[str, Column]]:
-    """Rule name and failure test of one column, in the order they are checked."""
-    value = text.cell(F.col(column))
-    rules = [("invalid_utf8", F.coalesce(F.contains(F.col(column), F.lit("\ufffd")), F.lit(False)))]
+    """Rule name and failure test of one column of a parsed frame, in the order they are checked."""
+    value = F.col(column)
+    rules = [("invalid_utf8", F.coalesce(F.contains(value, F.lit("\ufffd")), F.lit(False)))]
     if column in spec.required:
         rules.append(("required", value.isNull()))
-    if column in spec.integers:
-        rules.append(("integer", value.isNotNull() & text.parse_int(value).isNull()))
-    if column in spec.timestamps:
-        rules.append(("timestamp", value.isNotNull() & text.parse_timestamp(value).isNull()))
+    for rule, columns in (("integer", spec.integers), ("timestamp", spec.timestamps)):
+        if column in columns:
+            rules.append((rule, value.isNotNull() & F.col(f"_typed_{column}").isNull()))
     return rules
 
 
@@ -79,16 +96,12 @@ def find_violations(raw: DataFrame, spec: DatasetSpec, keep: Sequence[str] = ("r
                 F.lit(ordinal).alias("col_ord"),
                 F.lit(column).alias("column_name"),
                 F.lit(rule).alias("rule"),
-                text.cell(F.col(column)).alias("value"),
+                F.col(column).alias("value"),
             )
             chain = F.when(failed, found) if chain is None else chain.when(failed, found)
         broken.append(chain)
-    return raw.select(*keep, F.explode(F.array_compact(F.array(*broken))).alias("v")).select(*keep, "v.*")
-
-
-def row_is_broken(spec: DatasetSpec) -> Column:
-    """True when any cell of the row breaks a rule."""
-    return reduce(or_, [failed for c in spec.columns for _, failed in _rules(spec, c)])
+    found = F.explode(F.array_compact(F.array(*broken))).alias("v")
+    return _parsed(raw, spec, keep).select(*keep, found).select(*keep, "v.*")
 
 
 def first_violation(violations: DataFrame, row_order: Sequence[str] = ("row_num",)) -> DataFrame:

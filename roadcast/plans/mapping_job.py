@@ -36,13 +36,18 @@ def locate_areas(features: DataFrame, stations: DataFrame, feature_id: str = "fe
 def build_mapping(
     features: DataFrame, stations: DataFrame, strict: bool = True, feature_id: str = "feature_index"
 ) -> DataFrame:
-    """Mapping rows of typed features. Strict mode rejects areas with conflicting attributes."""
+    """Mapping rows of typed features. Strict mode rejects areas with conflicting attributes.
+
+    Attributes are kept aside without the shapes, so the input is parsed once for them
+    and once for the outline.
+    """
     reject(station_violations(stations), "station list")
-    consolidated = areas.consolidate(features)
+    attributes = checkpointed(features.drop("parts"))
+    consolidated = areas.consolidate(attributes)
     if strict:
         reject(areas.conflicts(consolidated), "conflicting values", "beat", "field")
     located = locate_areas(features, stations, feature_id)
-    return mapping_rows(consolidated, located, areas.inline_source_ids(features, consolidated))
+    return mapping_rows(consolidated, located, areas.inline_source_ids(attributes, consolidated))
 
 
 def map_areas(

@@ -13,8 +13,7 @@ from roadcast.functions.times import resolve_run_date
 from roadcast.operators.quality import (
     find_violations,
     first_violation,
-    normalize,
-    row_is_broken,
+    normalize_and_flag,
     violation_message,
     with_lineage,
 )
@@ -37,9 +36,8 @@ class LoadMetrics:
 
 def prepare(raw: DataFrame, spec: DatasetSpec, run_date: date, load_ts: datetime) -> DataFrame:
     """Rows as they are stored, plus ``_broken``: whether any cell of the row breaks a rule."""
-    flagged = raw.withColumn("_broken", row_is_broken(spec))
-    stored = normalize(flagged, spec, keep=("_file", "_broken"))
-    return with_lineage(stored, run_date, F.col("_file"), load_ts).drop("_file")
+    flagged = normalize_and_flag(raw, spec, keep=("_file",))
+    return with_lineage(flagged, run_date, F.col("_file"), load_ts).drop("_file")
 
 
 def load_snapshots(

@@ -88,19 +88,25 @@ def write_mapping_document(mapping: DataFrame, path: str) -> None:
     lines.select("value").write.mode("overwrite").text(path)
 
 
-def write_batches(batches: DataFrame, prefix: str) -> None:
-    """Envelopes as JSON files under ``capture_date=.../capture=...``; a rerun replaces its captures only."""
+def write_batches(batches: DataFrame, prefix: str, by_capture: bool = True) -> None:
+    """Envelopes as JSON lines.
+
+    By capture there is one file per envelope, under ``capture_date=.../capture=...``,
+    and a rerun replaces its own captures only. Otherwise files are kept whole per
+    day and appended, which suits loading many captures at once.
+    """
     keyed = batch_json(batches).select(
         F.regexp_extract("batch_key", "([^/]+)/[^/]+$", 1).alias("capture_date"),
         F.regexp_extract("batch_key", r"([^/]+)\.json$", 1).alias("capture"),
         F.col("document").alias("value"),
     )
-    (
-        keyed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("capture_date", "capture")
-        .text(prefix)
-    )
+    if by_capture:
+        writer = keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("capture_date", "capture").text(prefix)
+    else:
+        # rebalancing joins small outputs and splits a day that holds most of the rows
+        days = keyed.drop("capture").hint("rebalance", "capture_date")
+        days.write.mode("append").partitionBy("capture_date").text(prefix)
 
 
 def write_observation_log(log: DataFrame, path: str) -> None:

@@ -161,11 +161,10 @@ def first_violation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def staging_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = b.raw_events(spark, sf_dir).select(quality.row_is_broken(b.EVENT_ROWS).alias("broken"))
-    return flagged.agg(
+    return quality.normalize_and_flag(b.raw_events(spark, sf_dir), b.EVENT_ROWS).agg(
         F.count("*").alias("rows_read"),
-        F.count_if(~F.col("broken")).alias("rows_accepted"),
-        F.count_if("broken").alias("rows_broken"),
+        F.count_if(~F.col("_broken")).alias("rows_accepted"),
+        F.count_if("_broken").alias("rows_broken"),
     )
 
 
@@ -180,8 +179,8 @@ def lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted rows written as one run's folder and read back, as the load job does."""
     target = f"{scratch_root(spark)}/staged-{uuid.uuid4().hex}"
-    raw = b.raw_events(spark, sf_dir).filter(~quality.row_is_broken(b.EVENT_ROWS))
-    quality.normalize(raw, b.EVENT_ROWS).write.parquet(target)
+    flagged = quality.normalize_and_flag(b.raw_events(spark, sf_dir), b.EVENT_ROWS)
+    flagged.filter(~F.col("_broken")).drop("_broken").write.parquet(target)
     return spark.read.parquet(target)
 
 
@@ -282,9 +281,9 @@ def observation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def stream_observation_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch files written per capture, then read once as a stream."""
+    """Batch files of all captures, then read once as a stream."""
     root = f"{scratch_root(spark)}/captures-{uuid.uuid4().hex}"
-    write_batches(obs.batch_documents(_split(spark, sf_dir)), f"{root}/batches")
+    write_batches(obs.batch_documents(_split(spark, sf_dir)), f"{root}/batches", by_capture=False)
     stream = obs.observation_rows(stream_batches(spark, f"{root}/batches"))
     drain(stream.select("captured_at_utc", "source", "schema_version", "body"), f"{root}/rows", f"{root}/progress")
     return spark.read.parquet(f"{root}/rows")
