@@ -293,6 +293,7 @@ SELECT (SELECT count(*) FROM raw) AS rows_read, (SELECT count(*) FROM raw) - (SE
   TIMESTAMP '2024-02-01 06:00:00' AS load_ts FROM events""",
     "staged_table": f"""WITH {RAW} SELECT report_id, date_time, police_beat, injured, note FROM typed
   WHERE row_num NOT IN (SELECT row_num FROM found)""",
+    "csv_scan": f"WITH {RAW} SELECT report_id, date_time, police_beat, injured, note FROM typed",
     "row_numbers": "SELECT event_id, row_number() OVER (ORDER BY event_id) + 1 AS row_num FROM events",
     "header_check": """SELECT event_id,
   CASE event_id % 6 WHEN 1 THEN 'missing' WHEN 2 THEN 'duplicates' WHEN 3 THEN 'unexpected' WHEN 4 THEN 'empty' WHEN 5 THEN 'missing' END AS problem,
@@ -327,6 +328,7 @@ SELECT 'nws_observations/' || strftime(captured_at, '%Y-%m-%d') || '/' || strfti
 layered AS (SELECT *, unnest(CASE WHEN event_id % 3 = 0 THEN [NULL] ELSE range(event_id % 3) END) AS layer FROM observed)
 SELECT observation_id, station_id, CAST(layer AS BIGINT) AS layer, CASE layer WHEN 0 THEN 'FEW' WHEN 1 THEN 'BKN' END AS amount,
   CAST(layer * 100 + station_no AS DOUBLE) AS base, CASE WHEN layer IS NOT NULL THEN 'wmoUnit:m' END AS base_unit FROM layered""",
+    "response_scan": f"WITH {SPLIT} SELECT station_id, http_status, body FROM replies WHERE station_no < 50",
     "container_rules": """SELECT s_suppkey, CASE s_suppkey % 3 WHEN 1 THEN 'not_a_feature_collection' ELSE 'features_not_a_list' END AS rule
   FROM supplier WHERE s_suppkey % 3 <> 0""",
     "feature_rules": """SELECT s_suppkey AS feature_index, CASE s_suppkey % 10 WHEN 1 THEN 'missing_required_properties'
@@ -336,6 +338,8 @@ SELECT observation_id, station_id, CAST(layer AS BIGINT) AS layer, CASE layer WH
   FROM supplier WHERE s_suppkey % 10 BETWEEN 1 AND 5""",
     "typed_features": f"""WITH {NAMED} SELECT feature_index, objectid, beat, CAST(div AS BIGINT) AS div, CAST(serv AS BIGINT) AS serv, name,
   geometry_type, CAST(CASE geometry_type WHEN 'Polygon' THEN 1 ELSE 2 END AS BIGINT) AS n_parts FROM named""",
+    "feature_lines_scan": f"""WITH {NAMED} SELECT objectid, beat, CAST(div AS BIGINT) AS div, CAST(serv AS BIGINT) AS serv, name, geometry_type
+  FROM named""",
     "beat_consolidation": f"""WITH {NAMED} SELECT beat, objectid, source_feature_count, source_null_name_count, div, serv, name,
   div_conflict, serv_conflict, name_conflict, source_objectids FROM one""",
     "beat_source_ids": f"WITH {NAMED} SELECT beat, objectid FROM named",
@@ -379,6 +383,7 @@ pairs_ AS (SELECT p.*, s.* FROM points p, sites s
   WHERE sin(radians(lat1)) * sin(radians(lat2)) + cos(radians(lat1)) * cos(radians(lat2)) * cos(radians(lon1 - lon2)) > -0.5),
 {distances('pairs_', 12)}, {NEAREST} SELECT beat, station_id, round(km, 5) AS distance_km FROM nearest""",
     "area_mapping": f"WITH {MAPPING} SELECT {MAPPING_FIELDS} FROM mapping",
+    "mapping_scan": f"""WITH {MAPPING} SELECT objectid, beat, name, representative_lat, representative_lon, station_id FROM mapping""",
     "area_mapping_rules": f"""WITH {MAPPING} SELECT count(*) AS n_rows, count(beat) - count(DISTINCT beat) AS n_duplicates,
   CAST(CASE WHEN count(*) = 0 THEN 'empty_mapping' END AS VARCHAR) AS rule FROM mapping""",
     "area_mapping_summary": f"""WITH {MAPPING} SELECT count(*) AS total_beats, count(beat) - count(DISTINCT beat) AS duplicate_beats,

@@ -20,9 +20,9 @@ from roadcast.operators.nearest import nearest_station, station_violations
 from roadcast.operators.overlay import open_vertices, union_outline
 from roadcast.plans.mapping_job import build_mapping
 from roadcast.session import checkpointed, scratch_root
-from roadcast.sources.csv_snapshots import with_row_numbers
-from roadcast.sources.documents import default_stations
-from roadcast.sources.sinks import mapping_document, write_batches
+from roadcast.sources.csv_snapshots import read_raw, with_row_numbers
+from roadcast.sources.documents import default_stations, read_feature_lines, read_mapping, read_responses
+from roadcast.sources.sinks import mapping_document, write_batches, write_mapping_document
 from roadcast.specs import DETAIL_NULL_COLUMNS
 from roadcast.streaming.batches import drain, stream_batches
 from workload import bindings as b
@@ -178,12 +178,28 @@ def lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def staged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted rows written as one run's folder and read back, as the load job does."""
-    target = f"{scratch_root(spark)}/staged-{uuid.uuid4().hex}"
+    target = _fresh(spark, "staged")
     flagged = quality.normalize_and_flag(b.raw_events(spark, sf_dir), b.EVENT_ROWS)
     flagged.filter(~F.col("_broken")).drop("_broken").write.parquet(target)
     return spark.read.parquet(target)
 
 
+def _fresh(spark: SparkSession, name: str) -> str:
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@register
+def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows written as CSV files in another column order, then read and typed by header name."""
+    target = _fresh(spark, "csv")
+    order = list(reversed(b.EVENT_ROWS.columns))
+    b.raw_events(spark, sf_dir).select(*order).write.option("header", True).csv(
+        target, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    raw = read_raw(spark, target, b.EVENT_ROWS, names=order, multi_line=False)
+    return quality.normalize(raw, b.EVENT_ROWS)
+
+
 @register
 def row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = b.table(spark, sf_dir, "events").select(
@@ -282,7 +298,7 @@ def observation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def stream_observation_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch files of all captures, then read once as a stream."""
-    root = f"{scratch_root(spark)}/captures-{uuid.uuid4().hex}"
+    root = _fresh(spark, "captures")
     write_batches(obs.batch_documents(_split(spark, sf_dir)), f"{root}/batches", by_capture=False)
     stream = obs.observation_rows(stream_batches(spark, f"{root}/batches"))
     drain(stream.select("captured_at_utc", "source", "schema_version", "body"), f"{root}/rows", f"{root}/progress")
@@ -316,6 +332,14 @@ def observation_cloud_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.withColumn("layer", F.col("layer").cast("bigint"))
 
 
+@register
+def response_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies landed as files and read back."""
+    target = _fresh(spark, "replies")
+    b.attempts(spark, sf_dir).select("station_id", "http_status", "body").write.parquet(target)
+    return read_responses(spark, target)
+
+
 # --- areas ---------------------------------------------------------------------------
 
 
@@ -341,6 +365,15 @@ def typed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def feature_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features written one per line, then read and typed."""
+    target = _fresh(spark, "features")
+    b.nation_features(spark, sf_dir).select("properties", "geometry").write.json(target)
+    typed = areas.typed_features(read_feature_lines(spark, target))
+    return typed.select("objectid", "beat", "div", "serv", "name", "geometry_type")
+
+
 @register
 def beat_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = _nation_typed(spark, sf_dir)
@@ -436,6 +469,14 @@ def area_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pair_mapping(spark, sf_dir).withColumn("source_objectids", F.array_join("source_objectids", ","))
 
 
+@register
+def mapping_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping written as one JSON array and read back by the capture."""
+    target = _fresh(spark, "mapping")
+    write_mapping_document(_pair_mapping(spark, sf_dir), target)
+    return read_mapping(spark, target)
+
+
 @register
 def area_mapping_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping_rules(_pair_mapping(spark, sf_dir))
