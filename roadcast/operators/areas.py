@@ -92,8 +92,9 @@ def area_parts(geometry: str = "geometry") -> Column:
 
 
 def feature_violations(features: DataFrame) -> DataFrame:
+    carried = [c for c in features.columns if c not in ("properties", "geometry")]
     return features.select(
-        "feature_index",
+        *carried,
         feature_rule().alias("rule"),
         F.array_join(missing_keys(), ",").alias("missing_keys"),
         F.try_variant_get("geometry", "$.type", "string").alias("geometry_type"),

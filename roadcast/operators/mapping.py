@@ -12,10 +12,11 @@ from roadcast.specs import MAPPING_COLUMNS
 def mapping_rows(consolidated: DataFrame, points: DataFrame, ids: DataFrame) -> DataFrame:
     """Join attributes, located points and id lists of each area and give them their output names.
 
-    ``points`` already carries the nearest station. ``ids`` leaves out the list of
-    areas with very many features, so that join keeps rows without one.
+    ``points`` already carries the nearest station; an area that could not be located
+    keeps its row with nulls, for ``unlocated``. ``ids`` leaves out the list of areas
+    with very many features.
     """
-    joined = consolidated.join(points, "beat").join(ids, "beat", "left")
+    joined = consolidated.join(points, "beat", "left").join(ids, "beat", "left")
     return joined.select(
         "objectid",
         "source_objectids",
@@ -35,6 +36,11 @@ def mapping_rows(consolidated: DataFrame, points: DataFrame, ids: DataFrame) ->
     ).select(*MAPPING_COLUMNS)
 
 
+def unlocated(mapping: DataFrame) -> DataFrame:
+    """Areas whose shapes enclose nothing, or whose distances do not settle."""
+    return mapping.filter(F.col("geometry_type").isNull() | F.col("distance_to_station_km").isNull()).select("beat")
+
+
 def mapping_rules(mapping: DataFrame) -> DataFrame:
     """One row: row count, duplicate areas, and the first rule broken (null when sound)."""
     return mapping.agg(

@@ -16,6 +16,8 @@ occupied cells, one segment or one vertex. Areas with a single piece skip all of
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,12 +26,17 @@ from roadcast.operators.components import component_labels
 from roadcast.session import checkpointed
 
 SEG = ("ax", "ay", "bx", "by")
+RUN = 1024  # cells per run of a running total
 PAD = 1e-9  # share of a cell added around edges, so rounding never loses a cell
 
 
-def pieces(features: DataFrame, feature_id: str = "feature_index") -> DataFrame:
-    """One row per distinct polygon part of an area; exact copies are one piece."""
-    exploded = features.select("beat", F.col(feature_id).alias("feature_id"), F.posexplode("parts").alias("part_no", "part"))
+def pieces(features: DataFrame, feature_id: Sequence[str] = ("feature_index",)) -> DataFrame:
+    """One row per distinct polygon part of an area; exact copies are one piece.
+
+    The columns ``feature_id`` identify a feature.
+    """
+    identity = F.struct(*feature_id).alias("feature_id")
+    exploded = features.select("beat", identity, F.posexplode("parts").alias("part_no", "part"))
     return exploded.groupBy("beat", "part").agg(
         F.min(F.struct("feature_id", "part_no")).alias("piece")
     )
@@ -41,7 +48,7 @@ def _piece_edges(pieces_df: DataFrame) -> DataFrame:
     )
 
 
-def union_outline(features: DataFrame, feature_id: str = "feature_index") -> DataFrame:
+def union_outline(features: DataFrame, feature_id: Sequence[str] = ("feature_index",)) -> DataFrame:
     """Outline edges of the union per area: ``beat, part, x0, y0, x1, y1``.
 
     The interior is on the left of every edge. ``part`` names the connected part of
@@ -254,10 +261,7 @@ def _coverage(edges: DataFrame) -> DataFrame:
     upward = "CASE WHEN by > ay THEN net ELSE -net END"
     on_top = f"CASE WHEN {spans_height(north)} AND {is_west(west, north)} AND NOT {is_west(east, north)} THEN {upward} ELSE 0 END"
     per_cell = cells.groupBy("beat", "cx", "cy").agg(F.sum(F.expr(on_top)).alias("passing"))
-    eastward = Window.partitionBy("beat", "cy").orderBy(F.desc("cx")).rowsBetween(Window.unboundedPreceding, -1)
-    corners = per_cell.select(
-        "beat", "cx", "cy", F.coalesce(F.sum("passing").over(eastward), F.lit(0)).alias("corner_cover")
-    )
+    corners = _running_cover(per_cell)
     middles = edges.selectExpr(
         "beat",
         *[f"{c} AS m{c}" for c in SEG],
@@ -292,6 +296,27 @@ def _coverage(edges: DataFrame) -> DataFrame:
     )
 
 
+def _running_cover(per_cell: DataFrame) -> DataFrame:
+    """Sum of ``passing`` over the cells east of each cell in its row, as ``corner_cover``.
+
+    Rows are summed in runs of cells first, so that a very long row is not one task's work.
+    """
+    runs = per_cell.withColumn("run", F.floor(F.col("cx") / RUN))
+    before = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    total = lambda value, window: F.coalesce(F.sum(value).over(window), F.lit(0))
+    ahead = (
+        runs.groupBy("beat", "cy", "run")
+        .agg(F.sum("passing").alias("run_passing"))
+        .select("beat", "cy", "run", total("run_passing", before("beat", "cy").orderBy(F.desc("run"))).alias("ahead"))
+    )
+    within = runs.select(
+        "beat", "cx", "cy", "run", total("passing", before("beat", "cy", "run").orderBy(F.desc("cx"))).alias("inner")
+    )
+    return within.join(ahead, ["beat", "cy", "run"]).select(
+        "beat", "cx", "cy", (F.col("inner") + F.col("ahead")).alias("corner_cover")
+    )
+
+
 def _wedge_links(sided: DataFrame) -> DataFrame:
     """Link the pieces of neighbouring edges around a vertex when the wedge between them is covered."""
     rays = sided.select(

@@ -29,13 +29,14 @@ def capture(
     responses: DataFrame,
     output_root: str,
     captured_at: datetime | None = None,
+    mapping_lines: bool = False,
 ) -> DataFrame:
     """Write one capture below ``output_root`` and return its metrics.
 
     A failed station does not fail the capture. A station list too long for one
     document is written as rows with the same content.
     """
-    mapping = read_mapping(spark, mapping_path)
+    mapping = read_mapping(spark, mapping_path, mapping_lines)
     reject(obs.mapping_violations(mapping), "mapping row")
     split = capture_split(mapping, responses, captured_at or datetime.now(timezone.utc))
     prefix = f"{output_root.rstrip('/')}/{BATCH_PREFIX}"

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadcast.operators import areas
 from roadcast.operators.interior import representative_points
-from roadcast.operators.mapping import mapping_rows, mapping_rules
+from roadcast.operators.mapping import mapping_rows, mapping_rules, unlocated
 from roadcast.operators.nearest import nearest_station, station_violations
 from roadcast.operators.overlay import open_vertices, union_outline
 from roadcast.session import checkpointed
 from roadcast.sources.documents import default_stations, read_collections
-from roadcast.sources.sinks import write_mapping_document
+from roadcast.sources.sinks import write_mapping_document, write_mapping_rows
+
+
+# Above this many areas the mapping is written as lines instead of one document.
+MAX_DOCUMENT_AREAS = 100_000
 
 
 class RuleError(RuntimeError):
@@ -26,15 +32,23 @@ def reject(violations: DataFrame, what: str, *order: str) -> None:
         raise RuleError(f"{what}: {found[0].asDict()}")
 
 
-def locate_areas(features: DataFrame, stations: DataFrame, feature_id: str = "feature_index") -> DataFrame:
-    """One row per area: geometry type, parts, size, a point inside and the nearest station."""
+def locate_areas(
+    features: DataFrame, stations: DataFrame, feature_id: Sequence[str] = ("feature_index",)
+) -> DataFrame:
+    """One row per area: geometry type, parts, size, a point inside and the nearest station.
+
+    Areas without any surface are left out.
+    """
     outline = checkpointed(union_outline(features, feature_id))
     reject(open_vertices(outline), "the union of an area does not close", "beat", "x", "y")
-    return nearest_station(representative_points(outline), stations, ["beat"])
+    return nearest_station(representative_points(outline).filter("area > 0"), stations, ["beat"])
 
 
 def build_mapping(
-    features: DataFrame, stations: DataFrame, strict: bool = True, feature_id: str = "feature_index"
+    features: DataFrame,
+    stations: DataFrame,
+    strict: bool = True,
+    feature_id: Sequence[str] = ("feature_index",),
 ) -> DataFrame:
     """Mapping rows of typed features. Strict mode rejects areas with conflicting attributes.
 
@@ -47,7 +61,9 @@ def build_mapping(
     if strict:
         reject(areas.conflicts(consolidated), "conflicting values", "beat", "field")
     located = locate_areas(features, stations, feature_id)
-    return mapping_rows(consolidated, located, areas.inline_source_ids(attributes, consolidated))
+    mapping = checkpointed(mapping_rows(consolidated, located, areas.inline_source_ids(attributes, consolidated)))
+    reject(unlocated(mapping), "area without a surface or a distance", "beat")
+    return mapping
 
 
 def map_areas(
@@ -57,15 +73,21 @@ def map_areas(
     stations: DataFrame | None = None,
     strict: bool = True,
 ) -> DataFrame:
-    """Read a feature collection, map every area, check the result, then write it."""
+    """Read feature collections, map every area, check the result, then write it.
+
+    The result is one JSON array; with more than ``MAX_DOCUMENT_AREAS`` areas it is
+    JSON lines, written in parallel.
+    """
     stations = default_stations(spark) if stations is None else stations
     reject(station_violations(stations), "station list")
     collections = read_collections(spark, geojson_path)
     reject(areas.collection_violations(collections).select("rule"), "input container")
     features = areas.explode_features(collections)
-    reject(areas.feature_violations(features), "feature", "feature_index")
-    typed = areas.typed_features(features)
-    mapping = checkpointed(build_mapping(typed, stations, strict))
+    reject(areas.feature_violations(features), "feature", "source", "feature_index")
+    mapping = build_mapping(areas.typed_features(features), stations, strict, ("source", "feature_index"))
     reject(mapping_rules(mapping).filter(F.col("rule").isNotNull()), "mapping")
-    write_mapping_document(mapping, output_path)
+    if mapping.count() > MAX_DOCUMENT_AREAS:
+        write_mapping_rows(mapping, output_path)
+    else:
+        write_mapping_document(mapping, output_path)
     return mapping

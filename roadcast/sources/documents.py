@@ -9,8 +9,12 @@ from roadcast.specs import BATCH_SCHEMA, MAPPING_READ_SCHEMA, RESPONSE_SCHEMA, S
 
 
 def read_collections(spark: SparkSession, path: str) -> DataFrame:
-    """One row per GeoJSON container: ``type`` and ``features`` (kept as variant until checked)."""
-    return spark.read.schema("type string, features variant").json(path, multiLine=True)
+    """One row per GeoJSON container: ``source`` file, ``type``, and ``features`` (variant until checked)."""
+    return (
+        spark.read.schema("type string, features variant")
+        .json(path, multiLine=True)
+        .select(F.col("_metadata.file_path").alias("source"), "type", "features")
+    )
 
 
 def read_feature_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -29,9 +33,9 @@ def default_stations(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(i, *row) for i, row in enumerate(STATIONS)], STATION_SCHEMA)
 
 
-def read_mapping(spark: SparkSession, path: str) -> DataFrame:
-    """The fields of a mapping the capture needs; a top-level JSON array gives one row per entry."""
-    return spark.read.schema(MAPPING_READ_SCHEMA).json(path, multiLine=True)
+def read_mapping(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """The fields of a mapping the capture needs, from one JSON array or, with ``lines``, JSON lines."""
+    return spark.read.schema(MAPPING_READ_SCHEMA).json(path, multiLine=not lines)
 
 
 def read_responses(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

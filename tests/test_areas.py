@@ -195,3 +195,25 @@ def test_strict_rejects_conflicts_and_writes_nothing(spark, tmp_path):
         map_areas(spark, path, str(out))
     assert not out.exists()
     assert map_areas(spark, path, str(out), strict=False).first().serv == 10
+
+
+def test_area_without_surface_is_rejected(spark, tmp_path):
+    flat = [[-117.2, 32.7], [-117.1, 32.8], [-117.0, 32.9], [-117.2, 32.7]]
+    path = write(tmp_path, [feature(1, 1), feature(2, 2, ring=flat)])
+    with pytest.raises(RuleError, match="'beat': 2"):
+        map_areas(spark, path, str(tmp_path / "out"))
+
+
+def test_features_of_several_files_do_not_mix(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for name, x in (("a", -117.2), ("b", -116.9)):
+        ring = [[round(px, 6), round(py, 6)] for px, py in box(x, 32.7, 0.05, 0.05)]
+        (folder / f"{name}.geojson").write_text(
+            json.dumps({"type": "FeatureCollection", "features": [feature(1, 1, ring=ring)]})
+        )
+    monkeypatch.setattr("roadcast.plans.mapping_job.MAX_DOCUMENT_AREAS", 0)
+    out = str(tmp_path / "out")
+    row = map_areas(spark, str(folder), out).first()
+    assert (row.geometry_type, row.source_feature_count, row.source_objectids) == ("MultiPolygon", 2, [1, 1])
+    assert [r.beat for r in read_mapping(spark, out, lines=True).collect()] == [1]
