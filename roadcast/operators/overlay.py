@@ -167,15 +167,21 @@ def _side(px: Column, py: Column, qx: Column, qy: Column, rx: Column, ry: Column
 def _cut(segments: DataFrame) -> DataFrame:
     """Split every segment where another one of the area touches or crosses it."""
     cells = _cells(segments.select("beat", "g", *SEG)).drop("g")
-    other = cells.select("beat", "cx", "cy", *[F.col(c).alias(f"o{c}") for c in SEG])
     ax, ay, bx, by = (F.col(c) for c in SEG)
     ox, oy, px, py = (F.col(f"o{c}") for c in SEG)
-    met = cells.join(other, ["beat", "cx", "cy"]).filter(
-        (F.struct(ax, ay, bx, by) < F.struct(ox, oy, px, py))
-        & (ox <= bx)
-        & (px >= ax)
-        & (F.least(oy, py) <= F.greatest(ay, by))
-        & (F.greatest(oy, py) >= F.least(ay, by))
+    # both sides are the same plan, so the cells are computed and shuffled once
+    same_cell = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("beat", "cx", "cy")]
+    met = (
+        cells.alias("l")
+        .join(cells.alias("r"), same_cell)
+        .select("l.beat", *[f"l.{c}" for c in SEG], *[F.col(f"r.{c}").alias(f"o{c}") for c in SEG])
+        .filter(
+            (F.struct(ax, ay, bx, by) < F.struct(ox, oy, px, py))
+            & (ox <= bx)
+            & (px >= ax)
+            & (F.least(oy, py) <= F.greatest(ay, by))
+            & (F.greatest(oy, py) >= F.least(ay, by))
+        )
     )
     sided = met.select(
         "beat",

@@ -13,7 +13,7 @@ from roadcast.operators.mapping import mapping_rows, mapping_rules, unlocated
 from roadcast.operators.nearest import nearest_station, station_violations
 from roadcast.operators.overlay import open_vertices, union_outline
 from roadcast.session import checkpointed
-from roadcast.sources.documents import default_stations, read_collections
+from roadcast.sources.documents import default_stations, read_collections, read_feature_lines
 from roadcast.sources.sinks import write_mapping_document, write_mapping_rows
 
 
@@ -72,19 +72,25 @@ def map_areas(
     output_path: str,
     stations: DataFrame | None = None,
     strict: bool = True,
+    lines: bool = False,
 ) -> DataFrame:
     """Read feature collections, map every area, check the result, then write it.
 
+    ``lines`` reads newline-delimited features instead, for inputs no single document holds.
+
     The result is one JSON array; with more than ``MAX_DOCUMENT_AREAS`` areas it is
     JSON lines, written in parallel.
     """
     stations = default_stations(spark) if stations is None else stations
     reject(station_violations(stations), "station list")
-    collections = read_collections(spark, geojson_path)
-    reject(areas.collection_violations(collections).select("rule"), "input container")
-    features = areas.explode_features(collections)
-    reject(areas.feature_violations(features), "feature", "source", "feature_index")
-    mapping = build_mapping(areas.typed_features(features), stations, strict, ("source", "feature_index"))
+    if lines:
+        features, identity = read_feature_lines(spark, geojson_path), ["feature_index"]
+    else:
+        collections = read_collections(spark, geojson_path)
+        reject(areas.collection_violations(collections).select("source", "rule"), "input container")
+        features, identity = areas.explode_features(collections), ["source", "feature_index"]
+    reject(areas.feature_violations(features), "feature", *identity)
+    mapping = build_mapping(areas.typed_features(features), stations, strict, identity)
     reject(mapping_rules(mapping).filter(F.col("rule").isNotNull()), "mapping")
     if mapping.count() > MAX_DOCUMENT_AREAS:
         write_mapping_rows(mapping, output_path)

@@ -78,7 +78,7 @@ DETAILS = DatasetSpec(
 )
 DATASETS = (BASIC, DETAILS)
 
-# Columns whose null rates the detail profile reports.
+# Columns whose null rates the detail profile reports.
 DETAIL_NULL_COLUMNS = (
     "person_role",
     "person_injury_lvl",
@@ -102,7 +102,8 @@ STATIONS = (
     ("KNKX", "MCAS Miramar", 32.86833, -117.14167, "North Inland/Miramar"),
 )
 
-# Feature properties that must be present (a null value is present).
+# Feature properties that must be present (a null value is present), shape kinds,
+# and the columns of a mapping row.
 FEATURE_KEYS = ("objectid", "beat", "div", "serv")
 AREA_GEOMETRIES = ("Polygon", "MultiPolygon")
 
@@ -132,6 +133,7 @@ MAPPING_READ_SCHEMA = (
 )
 MAPPING_REQUIRED = ("objectid", "beat", "representative_lat", "representative_lon", "station_id")
 
+# Field names of replies, observations and batch documents.
 RESPONSE_SCHEMA = "station_id string, http_status int, body string"
 
 _QV = "struct<unitCode:string,value:double,qualityControl:string>"

@@ -84,6 +84,8 @@ def test_feature_lines(spark, tmp_path):
     path.write_text("\n".join(json.dumps(feature(i, i % 2)) for i in range(5)))
     typed = areas.typed_features(read_feature_lines(spark, str(path)))
     assert typed.count() == 5 and typed.select("feature_index").distinct().count() == 5
+    mapping = map_areas(spark, str(path), str(tmp_path / "out"), lines=True)
+    assert {r.beat: r.source_objectids for r in mapping.collect()} == {0: [0, 2, 4], 1: [1, 3]}
 
 
 def test_consolidation_and_conflicts(spark, tmp_path):
