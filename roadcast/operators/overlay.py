@@ -26,6 +26,7 @@ from roadcast.operators.components import component_labels
 from roadcast.session import checkpointed
 
 SEG = ("ax", "ay", "bx", "by")
+MEAN_CELLS = 64  # cells an edge of mean extent crosses at most
 RUN = 1024  # cells per run of a running total
 PAD = 1e-9  # share of a cell added around edges, so rounding never loses a cell
 
@@ -84,9 +85,11 @@ def _merge(edges: DataFrame) -> DataFrame:
     segments = checkpointed(
         owned.groupBy("beat", *SEG).agg(F.sum("way").alias("net"), F.min("piece").alias("piece"))
     )
-    # geometric mean of extents: cell registrations stay near the edge count
+    # The geometric mean suits the bulk of the edges. Held above a share of the plain
+    # mean, it keeps the cells entered by all edges below a multiple of their number.
     extent = F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay")))
-    grid = segments.groupBy("beat").agg(F.exp(F.avg(F.log(extent))).alias("g"))
+    size = F.greatest(F.exp(F.avg(F.log(extent))), F.avg(extent) / MEAN_CELLS)
+    grid = segments.groupBy("beat").agg(size.alias("g"))
     cuts = checkpointed(_cut(segments.join(grid, "beat")))
     cut_edges = checkpointed(
         cuts.groupBy("beat", "g", *SEG).agg(F.sum("net").alias("net"), F.min("piece").alias("piece"))
@@ -133,23 +136,21 @@ def _owner_links(rows: DataFrame, grouped: DataFrame) -> DataFrame:
 
 def _cells(df: DataFrame) -> DataFrame:
     """Register every edge in each grid cell it passes, column by column; ``g`` is the cell size."""
-    g, pad = F.col("g"), F.col("g") * PAD
-    ax, ay, bx, by = (F.col(c) for c in SEG)
-
-    def column_cells(cx: Column) -> Column:
-        near = lambda x: F.least(F.greatest(x, ax), bx)
-        at = lambda x: ay + (near(x) - ax) * ((by - ay) / F.nullif(bx - ax, F.lit(0.0)))
-        left, right = at(cx * g - pad), at((cx + 1) * g + pad)
-        low = F.when(ax == bx, ay).otherwise(F.least(left, right))
-        high = F.when(ax == bx, by).otherwise(F.greatest(left, right))
-        return F.transform(
-            F.sequence(F.floor((low - pad) / g), F.floor((high + pad) / g)),
-            lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")),
-        )
-
-    columns = F.sequence(F.floor((ax - pad) / g), F.floor((bx + pad) / g))
-    return df.select(*df.columns, F.explode(F.flatten(F.transform(columns, column_cells))).alias("cell")).select(
-        *df.columns, "cell.cx", "cell.cy"
+    pad = f"(g * {PAD!r})"
+    columns = df.selectExpr("*", f"explode(sequence(floor((ax - {pad}) / g), floor((bx + {pad}) / g))) AS cx")
+
+    def height_at(x: str) -> str:
+        """Ordinate of the edge at x, taken at its nearer end when x lies outside."""
+        return f"(ay + (least(greatest({x}, ax), bx) - ax) * ((by - ay) / nullif(bx - ax, 0D)))"
+
+    left, right = height_at(f"(cx * g - {pad})"), height_at(f"((cx + 1) * g + {pad})")
+    spans = columns.selectExpr(
+        "*",
+        f"CASE WHEN ax = bx THEN ay ELSE least({left}, {right}) END AS low",
+        f"CASE WHEN ax = bx THEN by ELSE greatest({left}, {right}) END AS high",
+    )
+    return spans.selectExpr(
+        *df.columns, "cx", f"explode(sequence(floor((low - {pad}) / g), floor((high + {pad}) / g))) AS cy"
     )
 
 
