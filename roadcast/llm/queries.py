@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadcast.llm import simhash
+from roadcast.llm import packing, simhash, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,3 +27,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op5_simhash_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = simhash.linked_documents(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return linked.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
+@register
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.token_table(table(spark, sf_dir, "documents"), tokenizer, end_id=2)
+
+
+@register
+def op9_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer, end_id=0, capacity=2048)
+    return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
