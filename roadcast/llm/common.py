@@ -93,7 +93,7 @@ def write_whole(uri: str, chunks: Iterator[bytes]) -> int:
     system.create_dir(folder, recursive=True)
     partial = f"{folder}/.{uuid.uuid4().hex}"
     length = 0
-    with system.open_output_stream(partial) as out:
+    with system.open_output_stream(partial, compression=None) as out:
         for chunk in chunks:
             out.write(chunk)
             length += len(chunk)

@@ -1,3 +1,52 @@
 """DuckDB SQL of the dealt queries that SQL can express."""
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op4_warc_archives"] = """
+WITH pages_of AS (
+    SELECT page_id, coalesce(html, '') AS payload, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), grouped AS (
+    SELECT *, strlen(payload) AS payload_bytes,
+           min(page_id) OVER (PARTITION BY payload_digest) AS least,
+           count(*) OVER (PARTITION BY payload_digest) AS n
+    FROM pages_of
+), marked AS (
+    SELECT *, n > 1 AND payload_bytes >= 100 AND page_id > least AS revisit FROM grouped
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN revisit THEN least END AS refers_to
+FROM marked
+"""
+
+_WORDS = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+ORACLE["op10_benchmark_overlap"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+phrases AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS m, array_to_string(list_slice(w, pos, pos + least(len(w), 10) - 1), ' ') AS gram
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS pos FROM i WHERE len(w) > 0)
+),
+places AS (
+    SELECT doc_id, m, pos, array_to_string(list_slice(w, pos, pos + m - 1), ' ') AS gram
+    FROM (
+        SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS pos
+        FROM d, (SELECT DISTINCT m FROM phrases) WHERE len(w) >= m
+    )
+),
+found AS (SELECT DISTINCT doc_id, pos, m, item_id FROM places JOIN phrases USING (m, gram)),
+hit AS (
+    SELECT doc_id, count(DISTINCT word) AS n_hit
+    FROM (SELECT doc_id, unnest(range(pos, pos + m)) AS word FROM found) GROUP BY doc_id
+),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

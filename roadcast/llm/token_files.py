@@ -128,7 +128,7 @@ class TokenShard:
 
 def open_shard(folder: str, name: str) -> TokenShard:
     system, root = file_system(folder)
-    with system.open_input_stream(f"{root}/dictionary") as source:
+    with system.open_input_stream(f"{root}/dictionary", compression=None) as source:
         dictionary = source.read()
     return TokenShard(system.open_input_file(f"{root}/{name}"), system.get_file_info(f"{root}/{name}").size, dictionary)
 
