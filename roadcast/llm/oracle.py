@@ -50,3 +50,31 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLE["op7_repeated_substrings"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+    SELECT doc_id, pos, substr(h, 2 * pos + 1, 100) AS gram
+    FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS pos FROM d WHERE len(h) >= 100)
+),
+least AS (SELECT gram, min(doc_id) AS owner FROM windows GROUP BY gram),
+marked AS (SELECT doc_id, pos FROM windows JOIN least USING (gram) WHERE owner < doc_id),
+runs AS (
+    SELECT doc_id, pos, sum(CASE WHEN pos - before <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS run
+    FROM (SELECT doc_id, pos, coalesce(lag(pos) OVER (PARTITION BY doc_id ORDER BY pos), -1000) AS before FROM marked)
+),
+spans AS (SELECT doc_id, min(pos) AS first, max(pos) + 50 AS stop FROM runs GROUP BY doc_id, run),
+kept_parts AS (
+    SELECT doc_id, coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY first), 0) AS a, first AS b FROM spans
+    UNION ALL
+    SELECT doc_id, coalesce(max(stop), 0), max(len(h) // 2) FROM d LEFT JOIN spans USING (doc_id) GROUP BY doc_id
+),
+kept AS (
+    SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS k
+    FROM kept_parts JOIN d USING (doc_id) GROUP BY doc_id
+),
+counts AS (SELECT doc_id, sum(stop - first) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""
