@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadcast.llm import decontaminate, packing, simhash, substring_dedup, token_files, warc
+from roadcast.llm import decontaminate, language, packing, quality, simhash, substring_dedup, token_files, toxicity, warc
+from roadcast.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,3 +73,43 @@ def op7_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@register
+def op3_language_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fitted(docs.filter(fold("doc_id", 4) != 2))
+    found = language.languages(docs.select("doc_id", "text"), model)
+    held_out = (fold("doc_id", 4) == 2).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", F.col("lang_score").alias("score"))
+
+
+@register
+def op6_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.fitted(docs, labels.filter(fold("doc_id", 5) != 0))
+    return toxicity.scored(docs, model).select(
+        "doc_id",
+        (fold("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@register
+def op2_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades from the two labels: 0 is bad writing, 1 is good but toxic, 2 is good and clean."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, F.when(F.col("toxic") == 1, 1).otherwise(2))
+    ratings = table(spark, sf_dir, "labels").select("doc_id", grade.alias("label"))
+    model = quality.fitted(docs, ratings.filter(fold("doc_id", 5) != 0))
+    tail = F.get("tails", F.lit(0))
+    return quality.graded(docs, model).select(
+        "doc_id",
+        (fold("doc_id", 5) == 0).alias("held_out"),
+        "expected_grade",
+        F.coalesce(tail, F.lit(0.0)).alias("p_good"),
+        F.coalesce(F.get("tails", F.lit(1)), F.lit(0.0)).alias("p_clean"),
+        F.coalesce(tail >= 0.5, F.lit(False)).alias("keep"),
+    )
