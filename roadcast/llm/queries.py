@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadcast.llm import decontaminate, language, packing, quality, simhash, substring_dedup, token_files, toxicity, warc
+from roadcast.llm import (
+    decontaminate,
+    language,
+    packing,
+    phrases,
+    quality,
+    simhash,
+    substring_dedup,
+    token_files,
+    toxicity,
+    warc,
+)
 from roadcast.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register
+def op1_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.neighbour_fingerprints(table(spark, sf_dir, "documents"))
+
+
 @register
 def op5_simhash_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = simhash.linked_documents(table(spark, sf_dir, "documents"), shingle=3, radius=2)
