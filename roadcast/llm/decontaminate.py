@@ -25,7 +25,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -181,11 +181,9 @@ def scan(
     return rows.mapInArrow(of, schema)
 
 
-def cut_spans(text: str, spans: list) -> str:
-    """``text`` without the spans; what stood on both sides is parted by one blank."""
-    parts, at = [], 0
-    for span in spans:
-        parts.append(text[at : span["start"]])
-        at = span["stop"]
-    parts.append(text[at:])
-    return " ".join(parts)
+def without_spans(text: Column, spans: Column) -> Column:
+    """``text`` without the spans; what stood on both sides of one is parted by a blank."""
+    begins = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.length(text).cast("long")))
+    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform(spans, lambda s: s["stop"]))
+    parts = F.zip_with(ends, begins, lambda a, b: F.substring(text, a.cast("int") + 1, (b - a).cast("int")))
+    return F.when(F.size(spans) > 0, F.array_join(parts, " ")).otherwise(text)

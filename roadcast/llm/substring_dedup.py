@@ -27,7 +27,6 @@ result. Other columns pass through, except that ``RESULT`` columns replace colum
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -351,8 +350,15 @@ def removed_bytes(pack: Pack, row: dict, shards: int, length: int) -> np.ndarray
     return covered > 0
 
 
-def cut(joined: DataFrame, fields: T.StructType, shards: int, length: int) -> DataFrame:
-    schema = T.StructType([*fields.fields, *RESULT.fields])
+def kept_text(raw: bytes, turns: list[int]) -> str:
+    """What lies outside the removed runs (``turns``: start, stop, start, ...), run by run as text."""
+    edges = [0, *turns, len(raw)]
+    return "".join(raw[a:b].decode("utf-8", "ignore") for a, b in zip(edges[::2], edges[1::2], strict=True))
+
+
+def cut(joined: DataFrame, fields: T.StructType, shards: int, length: int, as_text: bool) -> DataFrame:
+    result_fields = [T.StructField("kept", T.StringType()) if as_text and f.name == "kept" else f for f in RESULT.fields]
+    schema = T.StructType([*fields.fields, *result_fields])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -366,8 +372,11 @@ def cut(joined: DataFrame, fields: T.StructType, shards: int, length: int) -> Da
                     result["n_bytes"].append(b - a)
                     result["n_removed"].append(int(own.sum()))
                     result["spans"].append([{"start": x, "stop": y} for x, y in zip(turns[::2], turns[1::2], strict=True)])
-                    result["kept"].append(pack.raw[a:b][~own].tobytes())
-                columns = [pa.array(result[n], kind) for n, kind in _ARROW_RESULT.items()]
+                    result["kept"].append(
+                        kept_text(pack.raw[a:b].tobytes(), turns) if as_text else pack.raw[a:b][~own].tobytes()
+                    )
+                kinds = _ARROW_RESULT | ({"kept": pa.string()} if as_text else {})
+                columns = [pa.array(result[n], kind) for n, kind in kinds.items()]
                 table = pa.Table.from_arrays([*pack.table.columns, *columns], names=schema.names)
                 for part in regrouped(iter(table.to_batches()), "text"):
                     yield part
@@ -375,10 +384,13 @@ def cut(joined: DataFrame, fields: T.StructType, shards: int, length: int) -> Da
     return joined.mapInArrow(of, schema)
 
 
-def deduplicated(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def deduplicated(
+    docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text", as_text: bool = False
+) -> DataFrame:
     """The columns of ``docs`` (id and text as ``doc_id`` and ``text``) and
 
-    ``n_bytes``, ``n_removed``, ``spans`` (byte offsets of maximal removed runs), ``kept`` (the other bytes).
+    ``n_bytes``, ``n_removed``, ``spans`` (byte offsets of maximal removed runs), ``kept`` (the other
+    bytes, or with ``as_text`` their text, without characters of which a part was removed).
     """
     if not GRAM + 8 <= length <= 56:
         raise ValueError("length must lie between 28 and 56")
@@ -399,13 +411,4 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id
         .applyInArrow(lambda part: answer_texts(part, length), SENT)
     )
     texts = stored(answers(texts, "texts"), "substring-texts")
-    return cut(table.join(keys, "pack", "left").join(texts, "pack", "left"), named.schema, shards, length)
-
-
-def kept_text(kept: bytes) -> str:
-    """Text of the kept bytes; a character of which a part was removed goes as well."""
-    return kept.decode("utf-8", "ignore")
-
-
-def digest(kept: bytes) -> str:
-    return hashlib.sha256(kept).hexdigest()
+    return cut(table.join(keys, "pack", "left").join(texts, "pack", "left"), named.schema, shards, length, as_text)
