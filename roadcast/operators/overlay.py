@@ -3,7 +3,10 @@
 The union's outline is found without ever assembling an area in one place:
 
 1. every polygon part (a *piece*) gives its segments, interior on the left;
-2. segments that meet are cut at the meeting points (grid equi-join on cells);
+2. corners are rounded to a fixed grid, and segments that meet are cut at the meeting
+   points, rounded too (grid equi-join on cells). A corner within ``TOUCH`` of a segment
+   cuts it. Cutting is repeated for areas where a rounded point lies off its segment,
+   until none does, so that edges meet at shared grid points only;
 3. for every cut edge, the number of pieces covering either side is read from the
    edges in its own cell plus a running total along the row of cells;
 4. an edge is outline if exactly one side is covered;
@@ -17,6 +20,7 @@ occupied cells, one segment or one vertex. Areas with a single piece skip all of
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +33,9 @@ SEG = ("ax", "ay", "bx", "by")
 MEAN_CELLS = 64  # cells an edge of mean extent crosses at most
 RUN = 1024  # cells per run of a running total
 PAD = 1e-9  # share of a cell added around edges, so rounding never loses a cell
+UNITS = 1e11  # grid points a degree: outlines of merged areas are rounded to a micrometre
+TOUCH = 1.0  # in grid units; more than half a grid square's diagonal
+ROUNDS = 30
 
 
 def pieces(features: DataFrame, feature_id: Sequence[str] = ("feature_index",)) -> DataFrame:
@@ -80,30 +87,57 @@ def _canonical(df: DataFrame, *keep: str | Column) -> DataFrame:
     )
 
 
+def _on_grid(edges: DataFrame) -> DataFrame:
+    """Coordinates as whole numbers of grid units (still doubles, exact below 2**53); collapsed edges go."""
+    return edges.select(
+        "beat", "piece", *[F.rint(F.col(c) * UNITS).alias(c) for c in ("x0", "y0", "x1", "y1")]
+    ).filter((F.col("x0") != F.col("x1")) | (F.col("y0") != F.col("y1")))
+
+
+def _merged(edges: DataFrame) -> DataFrame:
+    return checkpointed(edges.groupBy("beat", *SEG).agg(F.sum("net").alias("net"), F.min("piece").alias("piece")))
+
+
+def _planar(segments: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges that meet at their ends only (``beat, g, *SEG, net, piece``), and links of pieces on one edge.
+
+    An area is cut again while a cut has bent one of its segments: a bent segment may meet
+    others that it missed before. Unbent cuts lie on their segments and need no second look.
+    """
+    finished, links = [], []
+    for _ in range(ROUNDS):
+        # The geometric mean suits the bulk of the edges. Held above a share of the plain
+        # mean, it keeps the cells entered by all edges below a multiple of their number.
+        extent = F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay")))
+        size = F.greatest(F.exp(F.avg(F.log(extent))), F.avg(extent) / MEAN_CELLS)
+        grid = segments.groupBy("beat").agg(size.alias("g"))
+        cuts = checkpointed(_cut(segments.join(grid, "beat")))
+        edges = _merged(cuts)
+        links.append(_owner_links(cuts, edges))
+        bent = cuts.groupBy("beat").agg(F.max("bent").alias("again"), F.min("g").alias("g"))
+        finished.append(edges.join(bent.filter("NOT again").select("beat", "g"), "beat"))
+        again = bent.filter("again").select("beat")
+        if again.isEmpty():
+            break
+        segments = checkpointed(edges.join(again, "beat", "left_semi"))
+    else:
+        raise RuntimeError(f"edges still cross after {ROUNDS} rounds of cutting")
+    union = lambda frames: reduce(DataFrame.unionByName, frames)
+    return checkpointed(union(finished)), union(links)
+
+
 def _merge(edges: DataFrame) -> DataFrame:
-    owned = _canonical(edges, "beat", "piece")
-    segments = checkpointed(
-        owned.groupBy("beat", *SEG).agg(F.sum("way").alias("net"), F.min("piece").alias("piece"))
-    )
-    # The geometric mean suits the bulk of the edges. Held above a share of the plain
-    # mean, it keeps the cells entered by all edges below a multiple of their number.
-    extent = F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay")))
-    size = F.greatest(F.exp(F.avg(F.log(extent))), F.avg(extent) / MEAN_CELLS)
-    grid = segments.groupBy("beat").agg(size.alias("g"))
-    cuts = checkpointed(_cut(segments.join(grid, "beat")))
-    cut_edges = checkpointed(
-        cuts.groupBy("beat", "g", *SEG).agg(F.sum("net").alias("net"), F.min("piece").alias("piece"))
-    )
+    owned = _canonical(_on_grid(edges), "beat", "piece").withColumn("net", F.col("way"))
+    segments = _merged(owned)
+    cut_edges, cut_links = _planar(segments)
     sided = checkpointed(_coverage(cut_edges))
-    same_edge = (
-        _owner_links(owned, segments)
-        .unionByName(_owner_links(cuts, cut_edges))
-        .unionByName(_wedge_links(sided))
-    )
+    same_edge = _owner_links(owned, segments).unionByName(cut_links).unionByName(_wedge_links(sided))
     labels = component_labels(same_edge)
     outline = sided.filter((F.col("left_cover") > 0) != (F.col("right_cover") > 0))
     interior_left = F.col("left_cover") > 0
-    pick = lambda yes, no, name: F.when(interior_left, F.col(yes)).otherwise(F.col(no)).alias(name)
+    pick = lambda yes, no, name: (
+        F.when(interior_left, F.col(yes)).otherwise(F.col(no)) / UNITS
+    ).alias(name)
     directed = outline.select(
         "beat",
         F.struct("beat", "piece").alias("node"),
@@ -136,7 +170,7 @@ def _owner_links(rows: DataFrame, grouped: DataFrame) -> DataFrame:
 
 def _cells(df: DataFrame) -> DataFrame:
     """Register every edge in each grid cell it passes, column by column; ``g`` is the cell size."""
-    pad = f"(g * {PAD!r})"
+    pad = f"(g * {PAD!r} + {2 * TOUCH!r})"
     columns = df.selectExpr("*", f"explode(sequence(floor((ax - {pad}) / g), floor((bx + {pad}) / g))) AS cx")
 
     def height_at(x: str) -> str:
@@ -155,14 +189,9 @@ def _cells(df: DataFrame) -> DataFrame:
 
 
 def _side(px: Column, py: Column, qx: Column, qy: Column, rx: Column, ry: Column) -> Column:
-    """+1, 0 or -1: r left of, on, or right of the line p to q.
-
-    Results within the rounding bound of the determinant (Shewchuk 1997) count as on
-    the line, so a vertex that lies on an edge up to rounding cuts that edge.
-    """
-    first, second = (qx - px) * (ry - py), (qy - py) * (rx - px)
-    bound = (F.abs(first) + F.abs(second)) * 3.3306690738754716e-16
-    return F.when(F.abs(first - second) <= bound, F.lit(0)).otherwise(F.signum(first - second).cast("int"))
+    """+1, 0 or -1: r left of, within ``TOUCH`` of, or right of the line p to q."""
+    off = (qx - px) * (ry - py) - (qy - py) * (rx - px)
+    return F.when(F.abs(off) <= TOUCH * F.hypot(qx - px, qy - py), F.lit(0)).otherwise(F.signum(off).cast("int"))
 
 
 def _cut(segments: DataFrame) -> DataFrame:
@@ -178,10 +207,10 @@ def _cut(segments: DataFrame) -> DataFrame:
         .select("l.beat", *[f"l.{c}" for c in SEG], *[F.col(f"r.{c}").alias(f"o{c}") for c in SEG])
         .filter(
             (F.struct(ax, ay, bx, by) < F.struct(ox, oy, px, py))
-            & (ox <= bx)
-            & (px >= ax)
-            & (F.least(oy, py) <= F.greatest(ay, by))
-            & (F.greatest(oy, py) >= F.least(ay, by))
+            & (ox <= bx + TOUCH)
+            & (px >= ax - TOUCH)
+            & (F.least(oy, py) <= F.greatest(ay, by) + TOUCH)
+            & (F.greatest(oy, py) >= F.least(ay, by) - TOUCH)
         )
     )
     sided = met.select(
@@ -195,14 +224,16 @@ def _cut(segments: DataFrame) -> DataFrame:
     )
 
     def inside(x: Column, y: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
-        in_box = (x >= x0) & (x <= x1) & (y >= F.least(y0, y1)) & (y <= F.greatest(y0, y1))
-        return in_box & ~((x == x0) & (y == y0)) & ~((x == x1) & (y == y1))
+        """Beside the inner part of a segment: its foot lies strictly between the ends, and it is neither end."""
+        foot = (x - x0) * (x1 - x0) + (y - y0) * (y1 - y0)
+        whole = (x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)
+        return (foot > 0) & (foot < whole) & ~((x == x0) & (y == y0)) & ~((x == x1) & (y == y1))
 
     cross = (F.col("s_o") * F.col("s_p") < 0) & (F.col("s_a") * F.col("s_b") < 0)
     along = ((ox - ax) * (py - oy) - (oy - ay) * (px - ox)) / F.nullif(
         (bx - ax) * (py - oy) - (by - ay) * (px - ox), F.lit(0.0)
     )
-    meeting = F.struct((ax + along * (bx - ax)).alias("x"), (ay + along * (by - ay)).alias("y"))
+    meeting = F.struct(F.rint(ax + along * (bx - ax)).alias("x"), F.rint(ay + along * (by - ay)).alias("y"))
     first = F.struct(ax.alias("ax"), ay.alias("ay"), bx.alias("bx"), by.alias("by"))
     second = F.struct(ox.alias("ax"), oy.alias("ay"), px.alias("bx"), py.alias("by"))
     at = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
@@ -225,6 +256,7 @@ def _cut(segments: DataFrame) -> DataFrame:
     along_segment = Window.partitionBy("beat", *SEG).orderBy(
         (F.col("x") - ax) * (bx - ax) + (F.col("y") - ay) * (by - ay), "x", "y"
     )
+    off = (bx - ax) * (F.col("y") - ay) - (by - ay) * (F.col("x") - ax)
     spans = (
         stops.select(
             "beat",
@@ -233,12 +265,13 @@ def _cut(segments: DataFrame) -> DataFrame:
             F.col("y").alias("y0"),
             F.lead("x").over(along_segment).alias("x1"),
             F.lead("y").over(along_segment).alias("y1"),
+            (off != 0).alias("bent"),
         )
         .filter(F.col("x1").isNotNull() & ((F.col("x0") != F.col("x1")) | (F.col("y0") != F.col("y1"))))
         .join(segments, ["beat", *SEG])
     )
-    return _canonical(spans, "beat", "g", "piece", "net").select(
-        "beat", "g", "piece", *SEG, (F.col("net") * F.col("way")).alias("net")
+    return _canonical(spans, "beat", "g", "piece", "net", "bent").select(
+        "beat", "g", "piece", *SEG, (F.col("net") * F.col("way")).alias("net"), "bent"
     )
 
 

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -82,3 +83,45 @@ def test_components_of_chains_hubs_and_pairs(spark):
     want = {**{i: 100 for i in range(100, 161)}, **{i: 500 for i in range(500, 700)}, 8: 8, 9: 8}
     assert {r.node: r.component for r in got} == want and len(got) == len(want)
     assert component_labels(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def turned(ring, angle, dx, dy):
+    c, s = math.cos(angle), math.sin(angle)
+    return [[c * x - s * y + dx, s * x + c * y + dy] for x, y in ring]
+
+
+def test_turned_brick_walls_close(spark):
+    """Rectangles that only touch, their common borders equal up to rounding."""
+    rng, rows, expected = random.Random(8), [], {}
+    for beat in range(40):
+        angle, dx, dy = rng.uniform(0, 7), rng.uniform(-118, -116), rng.uniform(32, 33)
+        w, h, n = rng.uniform(0.01, 0.5), rng.uniform(0.01, 0.5), 0
+        for row in range(3):
+            for column in range(3):
+                brick = box((column + row % 2 * rng.choice([0.5, 1 / 3])) * w, row * h, w, h)
+                rows.append((beat, len(rows), [[turned(brick, angle, dx, dy)]]))
+                n += 1
+        expected[beat] = (w, h)
+    outline = union_outline(spark.createDataFrame(rows, SCHEMA)).cache()
+    assert open_vertices(outline).count() == 0
+    found = {r.beat: r for r in representative_points(outline).collect()}
+    for beat, (w, h) in expected.items():
+        assert found[beat].area <= 9 * w * h + 1e-9
+
+
+def test_turned_overlapping_grids_close_with_their_area(spark):
+    rng, rows, cells = random.Random(9), [], {}
+    for beat in range(40):
+        angle, dx, dy, size = rng.uniform(0, 7), rng.uniform(-118, -116), rng.uniform(32, 33), rng.uniform(0.01, 0.1)
+        own = set()
+        for _ in range(12):
+            b = (rng.randint(0, 8), rng.randint(0, 8), rng.randint(1, 4), rng.randint(1, 4))
+            ring = [[size * x, size * y] for x, y in box(*b)]
+            rows.append((beat, len(rows), [[turned(ring, angle, dx, dy)]]))
+            own |= unit_cells(*b)
+        cells[beat] = (own, size)
+    outline = union_outline(spark.createDataFrame(rows, SCHEMA)).cache()
+    assert open_vertices(outline).count() == 0
+    for r in representative_points(outline).collect():
+        own, size = cells[r.beat]
+        assert r.area == pytest.approx(len(own) * size * size, abs=1e-9) and r.n_parts == count_components(own), r.beat

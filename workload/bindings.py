@@ -222,6 +222,27 @@ def nation_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_features(table(spark, sf_dir, "supplier"), _nation_properties(), _nation_geometry())
 
 
+def slanted_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as bricks of ten walls that stand at an angle: rectangles that only touch.
+
+    A brick is half a degree by a quarter; rows of four, every second one set off by half a brick.
+    """
+    k = F.col("s_suppkey")
+    beat, nth = k % 10, F.floor(k / 10)
+    row, column = F.floor(nth / 4), nth % 4
+    x, y = (column + row % 2 * 0.5) * 0.5, row * 0.25
+    angle = beat * 0.37 + 0.1
+
+    def corner(u: Column, v: Column) -> Column:
+        return F.array(
+            -118.3 + F.cos(angle) * u - F.sin(angle) * v, 32.7 + F.sin(angle) * u + F.cos(angle) * v
+        )
+
+    ring = F.array(*[corner(x + a, y + b) for a, b in ((0.0, 0.0), (0.5, 0.0), (0.5, 0.25), (0.0, 0.25), (0.0, 0.0))])
+    properties = F.to_json(F.struct((k * 10 + 7).alias("objectid"), beat.alias("beat"), F.lit(1).alias("div"), F.lit(1).alias("serv"), F.col("s_name").alias("name")))
+    return _as_features(table(spark, sf_dir, "supplier"), properties, _geojson(F.lit("Polygon"), F.to_json(F.array(ring))))
+
+
 def dirty_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same features with one defect in half of them."""
     kind = F.col("s_suppkey") % 10

@@ -366,6 +366,8 @@ SELECT k AS beat, CASE WHEN k % 4 = 0 THEN 'MultiPolygon' ELSE 'Polygon' END AS
     "beat_union": f"""WITH RECURSIVE {COMPONENTS}
 SELECT beat, CASE WHEN count(DISTINCT comp) = 1 THEN 'Polygon' ELSE 'MultiPolygon' END AS geometry_type,
   count(DISTINCT comp) AS n_parts, round(CAST(count(*) AS DOUBLE) / 64, 9) AS area FROM members GROUP BY beat""",
+    "beat_union_slanted": """SELECT s_suppkey % 10 AS beat, 'Polygon' AS geometry_type, CAST(1 AS BIGINT) AS n_parts,
+  round(count(*) * CAST(0.125 AS DOUBLE), 6) AS area, CAST(0 AS BIGINT) AS n_open FROM supplier GROUP BY 1""",
     "beat_point": f"""WITH RECURSIVE {POINTS}
 SELECT beat, round(-118 + (a + b) / 16.0, 9) AS lon, round(32 + twice_y / 16.0, 9) AS lat FROM widest""",
     "union_closes": "SELECT CAST(0 AS BIGINT) AS beat, CAST(0 AS BIGINT) AS imbalance FROM supplier WHERE FALSE",

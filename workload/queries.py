@@ -425,6 +425,24 @@ def beat_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.select("beat", "geometry_type", "n_parts", F.round("area", 9).alias("area"))
 
 
+@register
+def beat_union_slanted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Walls of slanted bricks: one part each, of the bricks' total area, without an open vertex."""
+    outline = checkpointed(union_outline(areas.typed_features(b.slanted_features(spark, sf_dir))))
+    opened = open_vertices(outline).groupBy("beat").agg(F.count("*").alias("n_open"))
+    return (
+        outline_summary(outline_parts(outline))
+        .join(opened, "beat", "left")
+        .select(
+            "beat",
+            "geometry_type",
+            "n_parts",
+            F.round("area", 6).alias("area"),
+            F.coalesce("n_open", F.lit(0)).cast("bigint").alias("n_open"),
+        )
+    )
+
+
 @register
 def beat_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = representative_points(checkpointed(union_outline(_nation_typed(spark, sf_dir))))
