@@ -36,14 +36,17 @@ def parse_int(text: Column, sql_type: str = "int") -> Column:
     return grouped.try_cast(sql_type)
 
 
+ISO_DATE = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
+
+
 def parse_timestamp(text: Column) -> Column:
-    """ISO timestamp without zone, or null; never shifted by the session zone."""
-    return text.try_cast("timestamp_ntz")
+    """ISO timestamp with a full date and without zone, or null; never shifted by the session zone."""
+    return F.when(text.rlike(rf"\A{ISO_DATE}([T ][^\n]*)?\z"), text.try_cast("timestamp_ntz"))
 
 
 def parse_iso_date(text: Column) -> Column:
     """Strict ``YYYY-MM-DD`` or null."""
-    return F.when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text.try_cast("date"))
+    return F.when(text.rlike(rf"\A{ISO_DATE}\z"), text.try_cast("date"))
 
 
 def strip_trailing_slashes(path: Column) -> Column:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timezone
+import re
+from datetime import date, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from roadcast.functions.text import ISO_DATE
 from roadcast.specs import BATCH_PREFIX
 
 
@@ -44,6 +46,8 @@ def resolve_run_date(run_date: str | date | None = None) -> date:
     if isinstance(run_date, date):
         return run_date
     try:
-        return datetime.strptime(run_date, "%Y-%m-%d").replace(tzinfo=timezone.utc).date()
+        if not re.fullmatch(ISO_DATE, run_date):
+            raise ValueError("not a full date")
+        return date.fromisoformat(run_date)
     except ValueError as exc:
         raise ValueError(f"run date must be YYYY-MM-DD, got {run_date!r}") from exc

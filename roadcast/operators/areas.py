@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from roadcast.specs import AREA_GEOMETRIES, FEATURE_KEYS
 
-# Above this many features the id list of an area stays in rows (``source_ids``).
-MAX_INLINE_IDS = 10_000
-
 
 def collection_violations(collections: DataFrame) -> DataFrame:
     """Containers that are not a FeatureCollection with a list of features."""
@@ -182,16 +179,10 @@ def source_ids(features: DataFrame) -> DataFrame:
     return features.select("beat", "objectid")
 
 
-def inline_source_ids(features: DataFrame, consolidated: DataFrame, limit: int = MAX_INLINE_IDS) -> DataFrame:
-    """Sorted id list per area, for areas of at most ``limit`` features.
+def inline_source_ids(features: DataFrame) -> DataFrame:
+    """Sorted id list of every area, complete whatever its length.
 
-    Longer lists are not built into one row: the semi-join keeps their ids away from
-    ``collect_list``, and ``source_ids`` holds them whole.
+    The list is part of an area's row, so this is one array of bigints in one task per
+    area: 8 bytes a feature. ``source_ids`` has the same ids as rows.
     """
-    short = consolidated.filter(F.col("source_feature_count") <= limit).select("beat")
-    return (
-        source_ids(features)
-        .join(short, "beat", "left_semi")
-        .groupBy("beat")
-        .agg(F.array_sort(F.collect_list("objectid")).alias("source_objectids"))
-    )
+    return source_ids(features).groupBy("beat").agg(F.array_sort(F.collect_list("objectid")).alias("source_objectids"))
\ No newline at end of file

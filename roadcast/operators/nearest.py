@@ -73,13 +73,13 @@ def nearest_station(
     """``points`` plus ``station_id, station_name, station_location, distance_km``.
 
     ``stations`` holds ``ordinal, station_id, name, lat, lon, location``. Its size is
-    read first (at most ``inline_limit`` + 1 rows). ``keys`` identify a point. A point
-    none of whose distances settles keeps a null distance.
+    read first (at most ``inline_limit`` + 1 rows). ``keys``, which may repeat, identify a
+    point together with its position. A point none of whose distances settles keeps a null distance.
     """
     if stations.limit(inline_limit + 1).count() <= inline_limit:
         found = _from_array(points, stations, lat, lon)
     else:
-        found = _from_cells(points, stations, list(keys), lat, lon)
+        found = _from_cells(points, stations, list(dict.fromkeys([*keys, lat, lon])), lat, lon)
     distance = F.col("nearest.km")
     return found.select(
         *points.columns,
@@ -140,7 +140,8 @@ def _from_cells(points: DataFrame, stations: DataFrame, keys: list[str], lat: st
     top = sites.groupBy(_cell(F.col("at"), LEVELS[0]).alias("cell")).agg(*_box())
     # at most 4**3 cubes on the top level, so this array has a fixed bound
     roots = top.agg(F.collect_list(F.struct("cell", "low", "high", "some"))).scalar()
-    at_point = points.select(*keys, lat, lon, _xyz(F.col(lat), F.col(lon)).alias("p"), F.lit(FAR).alias("reach"))
+    at_point = points.select(*keys).dropDuplicates(keys)
+    at_point = at_point.select(*keys, _xyz(F.col(lat), F.col(lon)).alias("p"), F.lit(FAR).alias("reach"))
     frontier = _descend(at_point.withColumn("inner", roots), keys)
     for parent, level in zip(LEVELS, LEVELS[1:]):
         boxes = sites.groupBy(

@@ -17,10 +17,6 @@ from roadcast.specs import (
     OBSERVATION_SCHEMA,
 )
 
-# A batch document lists every station once, so its size follows the station list.
-MAX_DOCUMENT_STATIONS = 50_000
-
-
 def mapping_violations(mapping: DataFrame) -> DataFrame:
     """Rows of a mapping that lack a required field, one row per missing field."""
     missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in MAPPING_REQUIRED]))
@@ -65,23 +61,18 @@ def split_responses(requested: DataFrame, responses: DataFrame, keys: Sequence[s
 def capture_metrics(split: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Requested, succeeded and failed stations, overall or per capture."""
     return split.groupBy(*by).agg(
-        F.count("*").alias("total_stations"),
+        F.count("*").alias("total_stations"),  # a split has one row per station and capture
         F.count_if(~F.col("is_failed")).alias("succeeded"),
         F.count_if(F.col("is_failed")).alias("failed"),
     )
 
 
-def too_wide_for_a_document(requested: DataFrame, limit: int = MAX_DOCUMENT_STATIONS) -> bool:
-    """True when a station list is too long for one JSON document (reads at most ``limit`` + 1 ids)."""
-    return requested.select("station_id").distinct().limit(limit + 1).count() > limit
-
-
 def batch_documents(split: DataFrame, captured_at: str | Column = "captured_at") -> DataFrame:
     """One envelope per capture.
 
     A document holds one entry per requested station, so a group is bounded by the
-    station list, not by the data. Check the list with ``too_wide_for_a_document``
-    first; beyond it ``observation_log`` keeps the same content as rows.
+    station list, not by the data. ``observation_log`` has the same content as rows,
+    for lists that no single document should hold.
     """
     clock = F.col(captured_at) if isinstance(captured_at, str) else captured_at
     ok = ~F.col("is_failed")
@@ -126,6 +117,13 @@ def observation_log(split: DataFrame, captured_at: str | Column = "captured_at")
     )
 
 
+def log_rows(log: DataFrame) -> DataFrame:
+    """``observation_rows`` of captures that were written as rows."""
+    return log.filter("NOT is_failed").select(
+        "captured_at_utc", "source", "schema_version", F.to_json(F.try_parse_json("body")).alias("body")
+    )
+
+
 def observation_rows(batches: DataFrame) -> DataFrame:
     """One row per observation of each envelope; works on batch and streaming frames."""
     return batches.select(

@@ -17,10 +17,6 @@ from roadcast.sources.documents import default_stations, read_collections, read_
 from roadcast.sources.sinks import write_mapping_document, write_mapping_rows
 
 
-# Above this many areas the mapping is written as lines instead of one document.
-MAX_DOCUMENT_AREAS = 100_000
-
-
 class RuleError(RuntimeError):
     """An input or output rule is broken."""
 
@@ -61,7 +57,7 @@ def build_mapping(
     if strict:
         reject(areas.conflicts(consolidated), "conflicting values", "beat", "field")
     located = locate_areas(features, stations, feature_id)
-    mapping = checkpointed(mapping_rows(consolidated, located, areas.inline_source_ids(attributes, consolidated)))
+    mapping = checkpointed(mapping_rows(consolidated, located, areas.inline_source_ids(attributes)))
     reject(unlocated(mapping), "area without a surface or a distance", "beat")
     return mapping
 
@@ -73,13 +69,13 @@ def map_areas(
     stations: DataFrame | None = None,
     strict: bool = True,
     lines: bool = False,
+    document: bool = True,
 ) -> DataFrame:
     """Read feature collections, map every area, check the result, then write it.
 
     ``lines`` reads newline-delimited features instead, for inputs no single document holds.
 
-    The result is one JSON array; with more than ``MAX_DOCUMENT_AREAS`` areas it is
-    JSON lines, written in parallel.
+    The result is one JSON array, or without ``document`` JSON lines, written in parallel.
     """
     stations = default_stations(spark) if stations is None else stations
     reject(station_violations(stations), "station list")
@@ -92,8 +88,5 @@ def map_areas(
     reject(areas.feature_violations(features), "feature", *identity)
     mapping = build_mapping(areas.typed_features(features), stations, strict, identity)
     reject(mapping_rules(mapping).filter(F.col("rule").isNotNull()), "mapping")
-    if mapping.count() > MAX_DOCUMENT_AREAS:
-        write_mapping_rows(mapping, output_path)
-    else:
-        write_mapping_document(mapping, output_path)
+    (write_mapping_document if document else write_mapping_rows)(mapping, output_path)
     return mapping

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadcast.specs import BATCH_SCHEMA, MAPPING_READ_SCHEMA, RESPONSE_SCHEMA, STATION_SCHEMA, STATIONS
+from roadcast.specs import (
+    BATCH_SCHEMA,
+    MAPPING_READ_SCHEMA,
+    OBSERVATION_LOG_SCHEMA,
+    RESPONSE_SCHEMA,
+    STATION_SCHEMA,
+    STATIONS,
+)
 
 
 def read_collections(spark: SparkSession, path: str) -> DataFrame:
@@ -33,16 +40,26 @@ def default_stations(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(i, *row) for i, row in enumerate(STATIONS)], STATION_SCHEMA)
 
 
-def read_mapping(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """The fields of a mapping the capture needs, from one JSON array or, with ``lines``, JSON lines."""
-    return spark.read.schema(MAPPING_READ_SCHEMA).json(path, multiLine=not lines)
+def read_mapping(spark: SparkSession, path: str) -> DataFrame:
+    """The fields of a mapping the capture needs, from one JSON array or from JSON lines.
+
+    The first non-blank line tells the form: an array begins with a bracket.
+    """
+    first = spark.read.text(path).filter(F.trim("value") != "").limit(1).collect()
+    document = bool(first) and first[0]["value"].lstrip().startswith("[")
+    return spark.read.schema(MAPPING_READ_SCHEMA).json(path, multiLine=document)
 
 
 def read_responses(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Landed station replies: one row per station with status and body text."""
+    """Landed station replies with status and body text; a station may have several, in order of ``received_at``."""
     return spark.read.format(fmt).schema(RESPONSE_SCHEMA).load(path)
 
 
+def read_observation_log(spark: SparkSession, path: str) -> DataFrame:
+    """Captures that were written as rows."""
+    return spark.read.schema(OBSERVATION_LOG_SCHEMA).json(path)
+
+
 def read_batches(spark: SparkSession, prefix: str) -> DataFrame:
     """Envelopes of all batch files below ``prefix``."""
     return spark.read.schema(BATCH_SCHEMA).option("recursiveFileLookup", "true").json(prefix)

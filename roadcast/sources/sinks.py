@@ -110,5 +110,7 @@ def write_batches(batches: DataFrame, prefix: str, by_capture: bool = True) -> N
 
 
 def write_observation_log(log: DataFrame, path: str) -> None:
-    """Row form of the captures, one partition per day."""
-    log.write.mode("append").partitionBy("capture_date").json(path)
+    """Row form of the captures, a folder each; a rerun replaces its own captures only."""
+    capture = F.regexp_replace(F.regexp_replace("captured_at_utc", r"\+00:00$", "Z"), ":", "-")
+    writer = log.withColumn("capture", capture).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("capture_date", "capture").json(path)

@@ -53,10 +53,10 @@ BASIC = DatasetSpec(
     name="staging_collisions_basic",
     table="raw.collisions_basic",
     file_name="pd_collisions_datasd.csv",
-    columns=tuple(
-        """report_id date_time police_beat address_no_primary address_pd_primary address_road_primary
-        address_sfx_primary address_pd_intersecting address_name_intersecting address_sfx_intersecting
-        violation_section violation_type charge_desc injured killed hit_run_lvl""".split()
+    columns=(
+        "report_id", "date_time", "police_beat", "address_no_primary", "address_pd_primary", "address_road_primary",
+        "address_sfx_primary", "address_pd_intersecting", "address_name_intersecting", "address_sfx_intersecting",
+        "violation_section", "violation_type", "charge_desc", "injured", "killed", "hit_run_lvl",
     ),
     required=frozenset({"report_id", "date_time", "police_beat", "address_no_primary"}),
     integers=frozenset({"police_beat", "injured", "killed"}),
@@ -66,11 +66,11 @@ DETAILS = DatasetSpec(
     name="staging_collisions_details",
     table="raw.collisions_details",
     file_name="pd_collisions_details_datasd.csv",
-    columns=tuple(
-        """report_id date_time person_role person_injury_lvl person_veh_type veh_type veh_make veh_model
-        police_beat address_no_primary address_pd_primary address_road_primary address_sfx_primary
-        address_pd_intersecting address_name_intersecting address_sfx_intersecting violation_section
-        violation_type charge_desc injured killed hit_run_lvl""".split()
+    columns=(
+        "report_id", "date_time", "person_role", "person_injury_lvl", "person_veh_type", "veh_type", "veh_make",
+        "veh_model", "police_beat", "address_no_primary", "address_pd_primary", "address_road_primary",
+        "address_sfx_primary", "address_pd_intersecting", "address_name_intersecting", "address_sfx_intersecting",
+        "violation_section", "violation_type", "charge_desc", "injured", "killed", "hit_run_lvl",
     ),
     required=frozenset({"report_id", "date_time", "police_beat"}),
     integers=frozenset({"police_beat", "injured", "killed"}),
@@ -134,7 +134,12 @@ MAPPING_READ_SCHEMA = (
 MAPPING_REQUIRED = ("objectid", "beat", "representative_lat", "representative_lon", "station_id")
 
 # Field names of replies, observations and batch documents.
-RESPONSE_SCHEMA = "station_id string, http_status int, body string"
+OBSERVATION_LOG_SCHEMA = (
+    "captured_at_utc string, capture_date date, capture string, station_id string, is_failed boolean, "
+    "source string, schema_version int, body string"
+)
+# ``received_at`` orders the replies of one station; it may be null or missing in the files.
+RESPONSE_SCHEMA = "station_id string, http_status int, body string, received_at timestamp"
 
 _QV = "struct<unitCode:string,value:double,qualityControl:string>"
 _ELEVATION = "struct<unitCode:string,value:double>"

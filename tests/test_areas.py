@@ -112,16 +112,12 @@ def test_consolidation_and_conflicts(spark, tmp_path):
     }
 
 
-def test_long_id_lists_stay_in_rows(spark):
-    typed = spark.createDataFrame(
-        [(1, i, 1, 1, None) for i in (3, 1, 2)] + [(2, 9, 1, 1, None)],
-        "beat long, objectid long, div long, serv long, name string",
-    )
-    ids = areas.inline_source_ids(typed, areas.consolidate(typed), limit=2).collect()
-    assert [(r.beat, r.source_objectids) for r in ids] == [(2, [9])]
-    whole = {r.beat: r.source_objectids for r in areas.inline_source_ids(typed, areas.consolidate(typed)).collect()}
-    assert whole == {1: [1, 2, 3], 2: [9]}
-    assert areas.source_ids(typed).count() == 4
+def test_id_lists_are_complete_whatever_their_length(spark):
+    n = 10_001
+    typed = spark.range(n).selectExpr("1L AS beat", f"{n} - id AS objectid").union(spark.sql("SELECT 2L, 9L"))
+    whole = {r.beat: r.source_objectids for r in areas.inline_source_ids(typed).collect()}
+    assert whole == {1: list(range(1, n + 1)), 2: [9]}
+    assert areas.source_ids(typed).count() == n + 1
 
 
 def test_station_rules(spark):
@@ -206,7 +202,7 @@ def test_area_without_surface_is_rejected(spark, tmp_path):
         map_areas(spark, path, str(tmp_path / "out"))
 
 
-def test_features_of_several_files_do_not_mix(spark, tmp_path, monkeypatch):
+def test_features_of_several_files_do_not_mix(spark, tmp_path):
     folder = tmp_path / "many"
     folder.mkdir()
     for name, x in (("a", -117.2), ("b", -116.9)):
@@ -214,8 +210,20 @@ def test_features_of_several_files_do_not_mix(spark, tmp_path, monkeypatch):
         (folder / f"{name}.geojson").write_text(
             json.dumps({"type": "FeatureCollection", "features": [feature(1, 1, ring=ring)]})
         )
-    monkeypatch.setattr("roadcast.plans.mapping_job.MAX_DOCUMENT_AREAS", 0)
-    out = str(tmp_path / "out")
-    row = map_areas(spark, str(folder), out).first()
+    out, document = str(tmp_path / "out"), str(tmp_path / "document")
+    row = map_areas(spark, str(folder), out, document=False).first()
+    map_areas(spark, str(folder), document)
+    assert read_mapping(spark, document).collect() == read_mapping(spark, out).collect()
     assert (row.geometry_type, row.source_feature_count, row.source_objectids) == ("MultiPolygon", 2, [1, 1])
-    assert [r.beat for r in read_mapping(spark, out, lines=True).collect()] == [1]
+    assert [r.beat for r in read_mapping(spark, out).collect()] == [1]
+
+
+def test_repeated_point_keys_get_their_own_station_either_way(spark):
+    from roadcast.operators.nearest import nearest_station
+
+    points = spark.createDataFrame([(1, 32.1, -117.0), (1, 33.9, -117.0), (1, 32.1, -117.0)], "k int, lat double, lon double")
+    rows = [(0, "A", "a", 32.0, -117.0, "x"), (1, "C", "c", 34.0, -117.0, "x")]
+    stations = spark.createDataFrame(rows, "ordinal int, station_id string, name string, lat double, lon double, location string")
+    for limit in (0, 10):
+        found = nearest_station(points, stations, ["k"], inline_limit=limit).collect()
+        assert sorted((r.lat, r.station_id) for r in found) == [(32.1, "A"), (32.1, "A"), (33.9, "C")]

@@ -113,3 +113,16 @@ def test_polygon_area_closed_forms(spark):
     )
     got = [r.a for r in df.orderBy("i").select(polygon.part_area(F.col("part")).alias("a")).collect()]
     assert got == [16.0, 15.0, 3.0]
+
+
+def test_partial_dates_are_no_timestamps(spark):
+    from roadcast.functions.text import parse_timestamp
+    from roadcast.functions.times import resolve_run_date
+
+    cases = {"2024-01-05": True, "2024-01-05 10:11:12": True, "2024-01-05T10:11:12.5": True, "2024": False, "2024-01": False, "2024-1-5": False, "2024-01-05x": False}
+    frame = spark.createDataFrame([(c,) for c in cases], "t string").select("t", parse_timestamp(F.col("t")).isNotNull().alias("ok"))
+    assert {r.t: r.ok for r in frame.collect()} == cases
+    for text in ("2024-1-5", "2024-01-05T00", "20240105", "2024-13-01"):
+        with pytest.raises(ValueError):
+            resolve_run_date(text)
+    assert str(resolve_run_date("2024-01-05")) == "2024-01-05"

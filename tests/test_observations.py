@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from roadcast.operators import observations as obs
 from roadcast.plans.capture_job import capture, capture_split
-from roadcast.sources.documents import read_batches, read_responses
+from roadcast.sources.documents import read_batches, read_observation_log, read_responses
 from roadcast.streaming.batches import drain, stream_observations
 from roadcast.specs import MAPPING_READ_SCHEMA, RESPONSE_SCHEMA
 
@@ -36,7 +36,7 @@ def mapping(spark, ids):
 
 
 def responses(spark):
-    rows = [("A", 200, body("A")), ("B", 503, body("B")), ("C", 200, "<html>"), ("Z", 200, body("Z"))]
+    rows = [("A", 200, body("A"), None), ("B", 503, body("B"), None), ("C", 200, "<html>", None), ("Z", 200, body("Z"), None)]
     return spark.createDataFrame(rows, RESPONSE_SCHEMA)
 
 
@@ -98,11 +98,29 @@ def test_capture_document_round_trip_and_stream(spark, tmp_path):
     assert spark.read.parquet(target).count() == 2
 
 
-def test_long_station_lists_become_rows(spark, monkeypatch, tmp_path):
-    split = capture_split(mapping(spark, ["A", "B"]), responses(spark), AT)
-    assert not obs.too_wide_for_a_document(split, 2) and obs.too_wide_for_a_document(split, 1)
-    log = {r.station_id: r for r in obs.observation_log(split).collect()}
-    assert log["A"].body == body("A") and log["B"].body is None and log["B"].is_failed
+def test_captures_as_rows_hold_the_same_and_are_replaced(spark, tmp_path):
+    mapping_path, root = str(tmp_path / "mapping"), str(tmp_path / "captures")
+    mapping(spark, ["A", "B"]).write.json(mapping_path)
+    for _ in range(2):
+        capture(spark, mapping_path, responses(spark), root, AT, document=False)
+    capture(spark, mapping_path, responses(spark), root, AT.replace(hour=11), document=False)
+    capture(spark, mapping_path, responses(spark), root, AT)
+    log = read_observation_log(spark, f"{root}/nws_observations_log")
+    assert sorted((r.station_id, r.is_failed, r.body is None) for r in log.collect()) == [("A", False, False)] * 2 + [("B", True, True)] * 2
+    as_rows = obs.log_rows(log.filter("captured_at_utc LIKE '%T10%'")).collect()
+    batches = obs.observation_rows(read_batches(spark, f"{root}/nws_observations"))
+    assert [json.loads(r.body) for r in as_rows] == [json.loads(r.body) for r in batches.collect()]
+
+
+def test_last_of_repeated_replies_decides_in_the_job(spark, tmp_path):
+    early, late = datetime(2026, 2, 19, 10, 1), datetime(2026, 2, 19, 10, 2)
+    rows = [("A", 503, None, early), ("A", 200, body("A"), late), ("B", 200, body("B"), early), ("B", 500, None, late), ("C", 200, body("C"), None)]
+    mapping_path, root = str(tmp_path / "mapping"), str(tmp_path / "captures")
+    mapping(spark, ["A", "B", "C"]).write.json(mapping_path)
+    m = capture(spark, mapping_path, spark.createDataFrame(rows, RESPONSE_SCHEMA), root, AT).first()
+    assert (m.total_stations, m.succeeded, m.failed) == (3, 2, 1)
+    batch = read_batches(spark, f"{root}/nws_observations").first()
+    assert batch.stations_failed == ["B"] and len(batch.observations) == 2
 
 
 def test_typed_observation(spark):

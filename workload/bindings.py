@@ -113,6 +113,11 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _captures(spark, sf_dir).select("captured_at", "station_id").distinct()
 
 
+def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All replies as they land."""
+    return _captures(spark, sf_dir).select("station_id", "http_status", "body")
+
+
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed replies; ten of the stations never answer, others may answer several times."""
     return _captures(spark, sf_dir).filter("station_no < 50").drop("station_no")

@@ -328,7 +328,21 @@ SELECT 'nws_observations/' || strftime(captured_at, '%Y-%m-%d') || '/' || strfti
 layered AS (SELECT *, unnest(CASE WHEN event_id % 3 = 0 THEN [NULL] ELSE range(event_id % 3) END) AS layer FROM observed)
 SELECT observation_id, station_id, CAST(layer AS BIGINT) AS layer, CASE layer WHEN 0 THEN 'FEW' WHEN 1 THEN 'BKN' END AS amount,
   CAST(layer * 100 + station_no AS DOUBLE) AS base, CASE WHEN layer IS NOT NULL THEN 'wmoUnit:m' END AS base_unit FROM layered""",
-    "response_scan": f"WITH {SPLIT} SELECT station_id, http_status, body FROM replies WHERE station_no < 50",
+    "response_scan": f"WITH {SPLIT} SELECT station_id, http_status, body FROM replies",
+    "capture_job_document": f"""WITH {SPLIT}, {MAPPED},
+wanted AS (SELECT DISTINCT station_id FROM mapped WHERE station_id <> '' AND representative_lat IS NOT NULL),
+latest AS (SELECT station_id, http_status, body FROM replies WHERE station_no < 50
+  QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY event_id DESC) = 1),
+outcome AS (SELECT w.station_id, (l.http_status IS NULL OR l.http_status >= 400 OR l.body IS NULL OR NOT json_valid(l.body)) AS is_failed
+  FROM wanted w LEFT JOIN latest l USING (station_id))
+SELECT '2024-02-01T06:30:00+00:00' AS captured_at_utc, string_agg(station_id, ',' ORDER BY station_id) AS stations_requested,
+  coalesce(string_agg(station_id, ',' ORDER BY station_id) FILTER (WHERE is_failed), '') AS stations_failed,
+  count(*) FILTER (WHERE NOT is_failed) AS n_observations, count(*) AS total_stations,
+  count(*) FILTER (WHERE NOT is_failed) AS succeeded, count(*) FILTER (WHERE is_failed) AS failed FROM outcome""",
+    "report_detail_join": f"""SELECT l_orderkey AS report_id, l_linenumber AS line, nullif(l_returnflag, 'N') AS person_role,
+  o_orderdate AS report_date_time, CAST(o_custkey % 100 AS INTEGER) AS report_police_beat FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey""",
+    "beat_weather_join": f"""WITH {SPLIT}, {MAPPED} SELECT DISTINCT beat, station_id, captured_at, http_status
+  FROM mapped JOIN split USING (station_id) WHERE NOT is_failed""",
     "container_rules": """SELECT s_suppkey, CASE s_suppkey % 3 WHEN 1 THEN 'not_a_feature_collection' ELSE 'features_not_a_list' END AS rule
   FROM supplier WHERE s_suppkey % 3 <> 0""",
     "feature_rules": """SELECT s_suppkey AS feature_index, CASE s_suppkey % 10 WHEN 1 THEN 'missing_required_properties'

@@ -18,12 +18,14 @@ from roadcast.operators.interior import outline_parts, outline_summary, represen
 from roadcast.operators.mapping import beats_per_station, mapping_rules, mapping_summary
 from roadcast.operators.nearest import nearest_station, station_violations
 from roadcast.operators.overlay import open_vertices, union_outline
+from roadcast.operators.joins import beat_weather, details_with_report
+from roadcast.plans.capture_job import capture
 from roadcast.plans.mapping_job import build_mapping
 from roadcast.session import checkpointed, scratch_root
 from roadcast.sources.csv_snapshots import read_raw, with_row_numbers
-from roadcast.sources.documents import default_stations, read_feature_lines, read_mapping, read_responses
+from roadcast.sources.documents import default_stations, read_batches, read_feature_lines, read_mapping, read_responses
 from roadcast.sources.sinks import mapping_document, write_batches, write_mapping_document
-from roadcast.specs import DETAIL_NULL_COLUMNS
+from roadcast.specs import BATCH_PREFIX, DETAIL_NULL_COLUMNS
 from roadcast.streaming.batches import drain, stream_batches
 from workload import bindings as b
 
@@ -31,6 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 RUN_DATE = date(2024, 2, 1)
+CAPTURED_AT = datetime(2024, 2, 1, 6, 30, tzinfo=timezone.utc)
 LOAD_TS = datetime(2024, 2, 1, 6, 0, tzinfo=timezone.utc)
 
 
@@ -336,8 +339,36 @@ def observation_cloud_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def response_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies landed as files and read back."""
     target = _fresh(spark, "replies")
-    b.attempts(spark, sf_dir).select("station_id", "http_status", "body").write.parquet(target)
-    return read_responses(spark, target)
+    b.replies(spark, sf_dir).write.parquet(target)
+    return read_responses(spark, target).drop("received_at")
+
+
+@register
+def capture_job_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The capture job over all replies as one capture's, several a station; its document and metrics."""
+    folder = _fresh(spark, "capture-job")
+    b.customer_mapping(spark, sf_dir).filter("station_id IS NOT NULL AND representative_lat IS NOT NULL").write.json(f"{folder}/mapping")
+    replies = b.attempts(spark, sf_dir).withColumn("received_at", F.timestamp_seconds("event_id"))
+    metrics = capture(spark, f"{folder}/mapping", replies, folder, CAPTURED_AT)
+    batch = read_batches(spark, f"{folder}/{BATCH_PREFIX}")
+    return batch.select(
+        "captured_at_utc",
+        F.array_join("stations_requested", ",").alias("stations_requested"),
+        F.array_join("stations_failed", ",").alias("stations_failed"),
+        F.size("observations").cast("bigint").alias("n_observations"),
+    ).join(metrics)
+
+
+@register
+def report_detail_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = details_with_report(b.details(spark, sf_dir), b.basic(spark, sf_dir), ["date_time", "police_beat"])
+    return joined.select("report_id", "line", "person_role", "report_date_time", "report_police_beat")
+
+
+@register
+def beat_weather_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = _split(spark, sf_dir).filter("NOT is_failed").select("station_id", "captured_at", "http_status")
+    return beat_weather(b.customer_mapping(spark, sf_dir), good).select("beat", "station_id", "captured_at", "http_status")
 
 
 # --- areas ---------------------------------------------------------------------------
@@ -378,7 +409,7 @@ def feature_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def beat_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = _nation_typed(spark, sf_dir)
     one = areas.consolidate(typed)
-    ids = areas.inline_source_ids(typed, one)
+    ids = areas.inline_source_ids(typed)
     return one.join(ids, "beat", "left").withColumn("source_objectids", F.array_join("source_objectids", ","))
 
 
