@@ -1,7 +1,9 @@
-"""Distance on the WGS-84 ellipsoid as a column expression (Vincenty 1975, inverse problem)."""
+"""Distance on the WGS-84 ellipsoid as a column expression (Vincenty 1975, inverse problem, over a waypoint near antipodes)."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,13 +15,14 @@ FLAT = 1 / 298.257223563
 B = A * (1 - FLAT)
 MAX_ROUNDS = 20
 TOLERANCE = 1e-13
+HALF_STEPS, FINER, SEARCHES = 36, 30, 3  # bearings to either side, refinement of their step, searches
 
 
 def _reduced(lat: Column) -> Column:
     return F.atan((1 - FLAT) * F.tan(F.radians(lat)))
 
 
-def geodesic_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+def _series_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Metres between two points; null where the series has not settled (near antipodes).
 
     The longitude iteration runs in ``aggregate`` and stops computing once settled,
@@ -118,6 +121,47 @@ def geodesic_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column
     )
 
 
+def _over_waypoints_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """Metres between points near each other's antipodes.
+
+    Every way there crosses the circle a quarter round the first point, and both legs over a
+    point of that circle are short enough for the series. The shortest sum is searched by
+    bearing, on ever finer steps; the last are a ten-thousandth of a radian, which leaves
+    less than a millimetre.
+    """
+    phi, start = F.radians(lat1), F.radians(lon1)
+
+    def way(bearing: Column) -> Column:
+        north = F.cos(phi) * F.cos(bearing)
+        east = F.atan2(F.sin(bearing) * F.cos(phi), -F.sin(phi) * north)
+        lat, lon = F.degrees(F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), north)))), F.degrees(start + east)
+        return let(
+            F.struct(lat.alias("lat"), lon.alias("lon")),
+            lambda m: _series_m(lat1, lon1, m["lat"], m["lon"]) + _series_m(m["lat"], m["lon"], lat2, lon2),
+        )
+
+    def finer(best: Column, _: Column) -> Column:
+        ways = F.transform(
+            F.sequence(F.lit(-HALF_STEPS), F.lit(HALF_STEPS)),
+            lambda i: let(
+                best["bearing"] + i * best["step"],
+                lambda b: F.struct(way(b).alias("m"), b.alias("bearing"), (best["step"] / FINER).alias("step")),
+            ),
+        )
+        return F.array_min(F.filter(ways, lambda w: w["m"].isNotNull()))
+
+    first = F.struct(F.lit(None).cast("double").alias("m"), F.lit(0.0).alias("bearing"), F.lit(math.pi / HALF_STEPS).alias("step"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(SEARCHES)), first, finer, lambda best: best["m"])
+
+
+def geodesic_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """Metres between two points; null only for a null coordinate."""
+    given = lat1.isNotNull() & lon1.isNotNull() & lat2.isNotNull() & lon2.isNotNull()
+    return F.coalesce(
+        _series_m(lat1, lon1, lat2, lon2), F.when(given, _over_waypoints_m(lat1, lon1, lat2, lon2))
+    )
+
+
 def geodesic_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return geodesic_m(lat1, lon1, lat2, lon2) / 1000.0
 

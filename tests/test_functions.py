@@ -76,11 +76,6 @@ def test_geodesic_published_line_and_special_cases(spark):
     assert got == pytest.approx([r[4] for r in lines], abs=1e-3)
 
 
-def test_geodesic_does_not_settle_near_antipodes(spark):
-    df = spark.createDataFrame([(0.0, 0.0, 0.0, 179.9)], "a double, b double, c double, d double")
-    assert df.select(geodesic.geodesic_m(*[F.col(c) for c in "abcd"]).alias("m")).first().m is None
-
-
 def test_batch_key_and_iso_text_ignore_the_session_zone(spark):
     df = spark.sql("select timestamp'2026-02-19 10:53:07Z' as t union all select timestamp'1960-01-02 03:04:05.120003Z'")
     zone = spark.conf.get("spark.sql.session.timeZone")
@@ -126,3 +121,17 @@ def test_partial_dates_are_no_timestamps(spark):
         with pytest.raises(ValueError):
             resolve_run_date(text)
     assert str(resolve_run_date("2024-01-05")) == "2024-01-05"
+
+
+def test_near_antipodal_distances_settle(spark):
+    """Two published lines (Wikipedia, Vincenty's formulae), half a meridian, and the poles."""
+    from roadcast.functions.geodesic import geodesic_m
+
+    cases = [
+        (0.0, 0.0, 0.5, 179.5, 19936288.579), (0.0, 0.0, 0.5, 179.7, 19944127.421), (0.0, 0.0, 0.0, 180.0, 20003931.459),
+        (90.0, 0.0, -90.0, 0.0, 20003931.459), (30.0, -60.0, -30.0, 120.0, 20003931.459),
+    ]
+    frame = spark.createDataFrame(cases, "a double, b double, c double, d double, m double")
+    for r in frame.select("m", geodesic_m(*map(F.col, "abcd")).alias("got")).collect():
+        assert r.got == pytest.approx(r.m, abs=0.01)
+    assert frame.select(geodesic_m(F.lit(None).cast("double"), *map(F.col, "bcd")).alias("got")).first().got is None

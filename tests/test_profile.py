@@ -1,12 +1,13 @@
 import random
+import statistics
+from collections import Counter
 from datetime import datetime, timedelta
 
-import pandas as pd
 import pytest
 
 from roadcast.operators import profile as p
 from roadcast.plans.profile_job import profile_children, profile_parents
-from roadcast.specs import BASIC, DETAILS
+from roadcast.specs import BASIC, DETAIL_NULL_COLUMNS, DETAILS
 
 TOP = datetime(2026, 2, 19, 10, 30)
 
@@ -36,50 +37,60 @@ def data():
 
 @pytest.fixture(scope="module")
 def frames(spark, data):
-    make = lambda rows, spec: spark.createDataFrame([tuple(r[c] for c in spec.columns) for r in rows], nullable(spec))
-
-    def nullable(spec):
-        return ", ".join(f"{c} {spec.column_type(c).simpleString()}" for c in spec.columns)
-
-    basic, details = make(data[0], BASIC), make(data[1], DETAILS)
-    pandas_basic, pandas_details = pd.DataFrame(data[0]), pd.DataFrame(data[1])
-    return basic, details, pandas_basic, pandas_details
-
-
-def test_parents_equal_pandas(frames):
-    basic, _details, pb, _pd = frames
-    got = profile_parents(basic)
-    recent = pb[pb.date_time >= pb.date_time.max() - pd.Timedelta(days=90)]
-    ids = {r.report_id for r in got["recent"].select("report_id").collect()}
-    assert ids == set(recent.report_id) and "R1" in ids and "R2" not in ids
-    grain = got["grain"].first()
-    assert tuple(grain) == (True, recent.report_id.nunique(), len(recent))
-    nulls = (recent.isna().mean() * 100).round(2)
-    rows = got["null_percentages"].collect()
-    assert {r.column_name: r.null_pct for r in rows} == nulls.to_dict()
-    assert [r.null_pct for r in rows] == sorted(nulls, reverse=True)
-    assert {r.value: r.n_rows for r in got["top_roads"].collect()} == recent.address_road_primary.value_counts().to_dict()
-    beats = got["top_beats"].collect()
-    assert [r.n_rows for r in beats] == recent.police_beat.value_counts().head(15).tolist()
-    assert {r.hour: r.n_rows for r in got["by_hour"].collect()} == recent.date_time.dt.hour.value_counts().to_dict()
-
-
-def test_children_equal_pandas(frames):
-    basic, details, pb, pdd = frames
-    got = profile_children(basic, details)
-    recent = pb[pb.date_time >= pb.date_time.max() - pd.Timedelta(days=90)]
-    own = pdd[pdd.report_id.isin(recent.report_id)]
-    assert tuple(got["parents_shape"].first()) == recent.shape
-    assert tuple(got["children_shape"].first()) == own.shape
-    sizes = own.groupby("report_id").size()
-    assert {r.report_id: r.n_rows for r in got["rows_per_report"].collect()} == sizes.to_dict()
-    d = sizes.describe()
+    def frame(rows, spec):
+        schema = ", ".join(f"{c} {spec.column_type(c).simpleString()}" for c in spec.columns)
+        return spark.createDataFrame([tuple(r[c] for c in spec.columns) for r in rows], schema)
+
+    return frame(data[0], BASIC), frame(data[1], DETAILS)
+
+
+def window_of(basic):
+    since = max(r["date_time"] for r in basic) - timedelta(days=90)
+    return [r for r in basic if r["date_time"] >= since]
+
+
+def percent_null(rows, column):
+    return round(100 * sum(r[column] is None for r in rows) / len(rows), 2)
+
+
+def quantile(ordered, share):
+    """Linear between the two neighbours."""
+    place = share * (len(ordered) - 1)
+    low = int(place)
+    return ordered[low] + (place - low) * (ordered[min(low + 1, len(ordered) - 1)] - ordered[low])
+
+
+def test_parents(data, frames):
+    rows, got = window_of(data[0]), profile_parents(frames[0])
+    ids = {r["report_id"] for r in rows}
+    assert {r.report_id for r in got["recent"].select("report_id").collect()} == ids
+    assert "R1" in ids and "R2" not in ids  # the edge of the window belongs to it
+    assert tuple(got["grain"].first()) == (True, len(ids), len(rows))
+    found = [(r.column_name, r.null_pct) for r in got["null_percentages"].collect()]
+    assert dict(found) == {c: percent_null(rows, c) for c in BASIC.columns}
+    assert [pct for _, pct in found] == sorted((pct for _, pct in found), reverse=True)
+    roads = Counter(r["address_road_primary"] for r in rows if r["address_road_primary"])
+    assert {r.value: r.n_rows for r in got["top_roads"].collect()} == roads
+    beats = Counter(r["police_beat"] for r in rows)
+    assert [r.n_rows for r in got["top_beats"].collect()] == [n for _, n in beats.most_common(15)]
+    assert {r.hour: r.n_rows for r in got["by_hour"].collect()} == Counter(r["date_time"].hour for r in rows)
+
+
+def test_children(data, frames):
+    parents = window_of(data[0])
+    ids = {r["report_id"] for r in parents}
+    rows, got = [r for r in data[1] if r["report_id"] in ids], profile_children(*frames)
+    assert tuple(got["parents_shape"].first()) == (len(parents), len(BASIC.columns))
+    assert tuple(got["children_shape"].first()) == (len(rows), len(DETAILS.columns))
+    sizes = Counter(r["report_id"] for r in rows)
+    assert {r.report_id: r.n_rows for r in got["rows_per_report"].collect()} == sizes
+    n = sorted(sizes.values())
     s = got["rows_per_report_summary"].first()
-    assert [s.n, s.mean, s.std, s.min, s.p25, s.p50, s.p75, s.max] == pytest.approx(d.tolist())
-    assert {r.rows_per_key: r.n_keys for r in got["rows_per_report_frequency"].collect()} == sizes.value_counts().head(10).to_dict()
-    cols = ["person_role", "person_injury_lvl", "injured", "killed", "veh_type", "police_beat", "hit_run_lvl"]
-    want = (own[cols].isna().mean() * 100).round(2).to_dict()
-    assert {r.column_name: r.null_pct for r in got["null_percentages"].collect()} == want
+    expected = [len(n), statistics.mean(n), statistics.stdev(n), n[0], *(quantile(n, q) for q in (0.25, 0.5, 0.75)), n[-1]]
+    assert [s.n, s.mean, s.std, s.min, s.p25, s.p50, s.p75, s.max] == pytest.approx(expected)
+    assert {r.rows_per_key: r.n_keys for r in got["rows_per_report_frequency"].collect()} == dict(Counter(n).most_common(10))
+    nulls = {r.column_name: r.null_pct for r in got["null_percentages"].collect()}
+    assert nulls == {c: percent_null(rows, c) for c in DETAIL_NULL_COLUMNS}
 
 
 def test_grain_and_nulls(spark):
