@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from roadcast.functions.times import iso_utc
 from roadcast.operators.areas import explode_features
-from roadcast.specs import DatasetSpec
+from roadcast.specs import BASIC, DETAILS, DatasetSpec
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -274,8 +274,8 @@ def containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers in pairs: two rectangles of an area that share an edge or, every fifth pair, lie apart."""
+def _pair_texts() -> tuple[Column, Column]:
+    """Properties and geometry, as JSON text."""
     k = F.col("s_suppkey")
     p = F.floor(k / 2)
     x, y, h, first = (p * 7) % 29, (p * 5) % 23, p % 3 + 1, p % 2 + 1
@@ -291,9 +291,34 @@ def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         {"ignoreNullFields": "false"},
     )
-    return _as_features(
-        table(spark, sf_dir, "supplier"), properties, _geojson(F.lit("Polygon"), F.to_json(F.array(rectangle)))
-    )
+    return properties, _geojson(F.lit("Polygon"), F.to_json(F.array(rectangle)))
+
+
+def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers in pairs: two rectangles of an area that share an edge or, every fifth pair, lie apart."""
+    return _as_features(table(spark, sf_dir, "supplier"), *_pair_texts())
+
+
+def pair_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same features as the sorted lines of one GeoJSON document: ``section, s_suppkey, value``."""
+    properties, geometry = _pair_texts()
+    feature = F.concat(F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'), geometry, F.lit("}"))
+    suppliers = table(spark, sf_dir, "supplier")
+    first = suppliers.select(F.min("s_suppkey")).scalar()
+    lead = F.when(F.col("s_suppkey") == first, "").otherwise(",")
+    lines = suppliers.select(F.lit(1).alias("section"), "s_suppkey", F.concat(lead, feature).alias("value"))
+    edge = lambda section, text: spark.range(1).select(F.lit(section).alias("section"), F.lit(0).alias("s_suppkey"), F.lit(text).alias("value"))
+    return lines.union(edge(0, '{"type":"FeatureCollection","features":[')).union(edge(2, "]}"))
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Orders or line items with all columns of their snapshot, as text."""
+    spec, rows = (BASIC, basic(spark, sf_dir)) if name == "basic" else (DETAILS, details(spark, sf_dir))
+    if name != "basic":
+        rows = rows.join(basic(spark, sf_dir).select("report_id", "date_time"), "report_id")
+    rows = rows.withColumn("date_time", F.date_format(F.col("date_time").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss"))
+    rows = rows.withColumn("address_no_primary", F.lit("1"))
+    return rows.select(*[(F.col(c).cast("string") if c in rows.columns else F.lit(None).cast("string")).alias(c) for c in spec.columns])
 
 
 def nation_stations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -293,6 +293,14 @@ SELECT (SELECT count(*) FROM raw) AS rows_read, (SELECT count(*) FROM raw) - (SE
   TIMESTAMP '2024-02-01 06:00:00' AS load_ts FROM events""",
     "staged_table": f"""WITH {RAW} SELECT report_id, date_time, police_beat, injured, note FROM typed
   WHERE row_num NOT IN (SELECT row_num FROM found)""",
+    "load_job": """WITH counts AS (SELECT (SELECT count(*) FROM orders) AS n_basic, (SELECT count(*) FROM lineitem) AS n_details)
+SELECT n_basic AS rows_inserted, CAST(o_orderkey AS VARCHAR) AS report_id, CAST(o_orderdate AS TIMESTAMP) AS date_time,
+  CAST(o_custkey % 100 AS INTEGER) AS police_beat, nullif(CAST(o_custkey % 7 AS INTEGER), 0) AS injured,
+  DATE '2024-02-01' AS snapshot_dt, 'pd_collisions_datasd.csv' AS source_file, TIMESTAMP '2024-02-01 06:00:00' AS load_ts FROM orders, counts
+UNION ALL
+SELECT n_details, CAST(l_orderkey AS VARCHAR), CAST(o_orderdate AS TIMESTAMP), CAST(l_suppkey % 100 AS INTEGER),
+  nullif(CAST(l_quantity AS INTEGER) % 5, 0), DATE '2024-02-01', 'pd_collisions_details_datasd.csv', TIMESTAMP '2024-02-01 06:00:00'
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey, counts""",
     "csv_scan": f"WITH {RAW} SELECT report_id, date_time, police_beat, injured, note FROM typed",
     "row_numbers": "SELECT event_id, row_number() OVER (ORDER BY event_id) + 1 AS row_num FROM events",
     "header_check": """SELECT event_id,
@@ -400,6 +408,7 @@ pairs_ AS (SELECT p.*, s.* FROM points p, sites s
 {distances('pairs_', 12)}, {NEAREST} SELECT beat, station_id, round(km, 5) AS distance_km FROM nearest""",
     "area_mapping": f"WITH {MAPPING} SELECT {MAPPING_FIELDS} FROM mapping",
     "mapping_scan": f"""WITH {MAPPING} SELECT objectid, beat, name, representative_lat, representative_lon, station_id FROM mapping""",
+    "mapping_job": f"""WITH {MAPPING} SELECT objectid, beat, name, representative_lat, representative_lon, station_id FROM mapping""",
     "area_mapping_rules": f"""WITH {MAPPING} SELECT count(*) AS n_rows, count(beat) - count(DISTINCT beat) AS n_duplicates,
   CAST(CASE WHEN count(*) = 0 THEN 'empty_mapping' END AS VARCHAR) AS rule FROM mapping""",
     "area_mapping_summary": f"""WITH {MAPPING} SELECT count(*) AS total_beats, count(beat) - count(DISTINCT beat) AS duplicate_beats,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +21,14 @@ from roadcast.operators.nearest import nearest_station, station_violations
 from roadcast.operators.overlay import open_vertices, union_outline
 from roadcast.operators.joins import beat_weather, details_with_report
 from roadcast.plans.capture_job import capture
-from roadcast.plans.mapping_job import build_mapping
+from roadcast.plans.mapping_job import build_mapping, map_areas
+from roadcast.plans.staging_job import load_snapshots
 from roadcast.session import checkpointed, scratch_root
 from roadcast.sources.csv_snapshots import read_raw, with_row_numbers
 from roadcast.sources.documents import default_stations, read_batches, read_feature_lines, read_mapping, read_responses
+from roadcast.sources.files import _hadoop_path, dated_source, list_files
 from roadcast.sources.sinks import mapping_document, write_batches, write_mapping_document
-from roadcast.specs import BATCH_PREFIX, DETAIL_NULL_COLUMNS
+from roadcast.specs import BASIC, BATCH_PREFIX, DETAIL_NULL_COLUMNS, DETAILS
 from roadcast.streaming.batches import drain, stream_batches
 from workload import bindings as b
 
@@ -191,6 +194,32 @@ def _fresh(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _one_file(rows: DataFrame, target: str, write) -> None:
+    """Write ``rows`` as a single file called ``target``, the form in which sources land."""
+    folder = f"{target}-parts"
+    write(rows.coalesce(1).write, folder)
+    fs, _ = _hadoop_path(rows.sparkSession, target)
+    part = list_files(rows.sparkSession, folder, "part-*").first()["path"]
+    fs.rename(_hadoop_path(rows.sparkSession, part)[1], _hadoop_path(rows.sparkSession, target)[1])
+
+
+@register
+def load_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load job over orders and line items landed as one day's CSV files: the rows of both tables."""
+    root = _fresh(spark, "load-job")
+    specs = [replace(spec, table=f"{spec.table.rpartition('.')[2]}_{uuid.uuid4().hex}") for spec in (BASIC, DETAILS)]
+    for spec, name in zip(specs, ("basic", "details"), strict=True):
+        target = dated_source(f"{root}/landing", RUN_DATE, spec)
+        _one_file(b.landed(spark, sf_dir, name), target, lambda w, folder: w.option("header", True).csv(folder, escape='"'))
+    loaded = load_snapshots(spark, f"{root}/landing", f"{root}/warehouse", RUN_DATE, specs, load_ts=LOAD_TS)
+    columns = ("report_id", "date_time", "police_beat", "injured", "snapshot_dt", "source_file", "load_ts")
+    tables = [
+        spark.table(spec.table).select(F.lit(m.rows_inserted).cast("bigint").alias("rows_inserted"), *columns)
+        for spec, m in zip(specs, loaded, strict=True)
+    ]
+    return tables[0].unionByName(tables[1])
+
+
 @register
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows written as CSV files in another column order, then read and typed by header name."""
@@ -526,6 +555,16 @@ def mapping_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_mapping(spark, target)
 
 
+@register
+def mapping_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping job over a GeoJSON file; the fields that the capture reads, from the document it wrote."""
+    folder = _fresh(spark, "mapping-job")
+    lines = b.pair_document(spark, sf_dir).coalesce(1).sortWithinPartitions("section", "s_suppkey").select("value")
+    _one_file(lines, f"{folder}/areas.geojson", lambda w, target: w.text(target))
+    map_areas(spark, f"{folder}/areas.geojson", f"{folder}/mapping")
+    return read_mapping(spark, f"{folder}/mapping")
+
+
 @register
 def area_mapping_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping_rules(_pair_mapping(spark, sf_dir))
