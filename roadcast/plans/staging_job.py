@@ -18,7 +18,7 @@ from roadcast.operators.quality import (
     with_lineage,
 )
 from roadcast.sources.csv_snapshots import POSITION, check_header, read_raw, with_row_numbers
-from roadcast.sources.files import resolve_sources
+from roadcast.sources.files import delete_folder, resolve_sources
 from roadcast.sources.sinks import point_table, row_count, write_run
 from roadcast.specs import DATASETS, DatasetSpec
 
@@ -53,7 +53,8 @@ def load_snapshots(
 
     Order: all files exist, all headers fit, every dataset is written to a fresh
     folder while its broken rows are counted in the same pass, and only when no
-    dataset has any are the tables pointed at the new folders. A crash between two
+    dataset has any are the tables pointed at the new folders; otherwise the folders of
+    this run are deleted. A crash between two
     of those final switches leaves the tables on different days; a rerun repairs it.
     """
     specs = tuple(specs)
@@ -62,16 +63,21 @@ def load_snapshots(
     paths = resolve_sources(spark, source_root, day, specs)
     headers = {s.name: check_header(spark, paths[s.name], s, multi_line) for s in specs}
     written, inserted = {}, {}
-    for spec in specs:
-        raw = read_raw(spark, paths[spec.name], spec, headers[spec.name], multi_line)
-        counts = Observation(f"load {spec.name}")
-        rows = prepare(raw, spec, day, stamp).observe(
-            counts, F.count(F.lit(1)).alias("rows"), F.count_if("_broken").alias("broken")
-        )
-        written[spec.name] = write_run(rows.drop("_broken"), warehouse, spec.table)
-        if counts.get["broken"]:
-            raise RowError(first_error(raw, spec))
-        inserted[spec.name] = counts.get["rows"]
+    try:
+        for spec in specs:
+            raw = read_raw(spark, paths[spec.name], spec, headers[spec.name], multi_line)
+            counts = Observation(f"load {spec.name}")
+            rows = prepare(raw, spec, day, stamp).observe(
+                counts, F.count(F.lit(1)).alias("rows"), F.count_if("_broken").alias("broken")
+            )
+            written[spec.name] = write_run(rows.drop("_broken"), warehouse, spec.table)
+            if counts.get["broken"]:
+                raise RowError(first_error(raw, spec))
+            inserted[spec.name] = counts.get["rows"]
+    except Exception:
+        for folder in written.values():
+            delete_folder(spark, folder)
+        raise
     metrics = []
     for spec in specs:
         replaced = row_count(spark, spec.table)

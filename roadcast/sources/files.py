@@ -24,6 +24,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that the calling job has made itself."""
+    fs, target = _hadoop_path(spark, path)
+    fs.delete(target, True)
+
+
 def first_bytes(spark: SparkSession, path: str, count: int = 3) -> bytes:
     fs, target = _hadoop_path(spark, path)
     stream = fs.open(target)

@@ -107,6 +107,8 @@ def test_second_dataset_bad_leaves_first_table_unchanged(spark, tmp_path, specs)
     with pytest.raises(RowError, match="row 3, column injured: not a valid integer: '1.0'"):
         load(spark, tmp_path, specs)
     assert spark.table(specs[0].table).count() == 1
+    left = [p.name for p in tmp_path.rglob("run-*")]
+    assert len(left) == 2  # the two tables' content; the failed run's folders are gone
 
 
 def test_first_bad_row_is_reported_by_file_row(spark, tmp_path, specs):
