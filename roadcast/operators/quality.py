@@ -73,7 +73,7 @@ def with_lineage(df: DataFrame, run_date: date, source: str | Column, load_ts: d
 def _rules(spec: DatasetSpec, column: str) -> list[tuple[str, Column]]:
     """Rule name and failure test of one column of a parsed frame, in the order they are checked."""
     value = F.col(column)
-    rules = [("invalid_utf8", F.coalesce(F.contains(value, F.lit("\ufffd")), F.lit(False)))]
+    rules = [("invalid_utf8", ~F.coalesce(F.is_valid_utf8(value), F.lit(True)))]
     if column in spec.required:
         rules.append(("required", value.isNull()))
     for rule, columns in (("integer", spec.integers), ("timestamp", spec.timestamps)):
@@ -85,8 +85,7 @@ def _rules(spec: DatasetSpec, column: str) -> list[tuple[str, Column]]:
 def find_violations(raw: DataFrame, spec: DatasetSpec, keep: Sequence[str] = ("row_num",)) -> DataFrame:
     """One row per broken rule: ``keep`` columns, ``col_ord, column_name, rule, value``.
 
-    ``invalid_utf8`` looks for U+FFFD, which the CSV reader puts in place of bytes
-    that are not UTF-8.
+    ``invalid_utf8`` finds cells with bytes that are not UTF-8, which the CSV reader keeps.
     """
     broken = []
     for ordinal, column in enumerate(spec.columns):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,16 +21,22 @@ POSITION = ("_file", "_block", "_order")
 
 
 def _reader(spark: SparkSession, multi_line: bool):
+    """Cells as they are in the file, a character a byte: ``_decoded`` makes text of them."""
     return (
         spark.read.option("multiLine", str(multi_line).lower())
         .option("quote", '"')
         .option("escape", '"')
-        .option("encoding", "UTF-8")
+        .option("encoding", "ISO-8859-1")
         .option("mode", "PERMISSIVE")
         .option("inferSchema", "false")
     )
 
 
+def _decoded(cell: Column) -> Column:
+    """The bytes of a cell as text. Bytes that are not UTF-8 stay in it, for ``is_valid_utf8`` to find."""
+    return F.encode(cell, "ISO-8859-1").cast("string")
+
+
 def read_header(spark: SparkSession, path: str, multi_line: bool = True) -> list[str]:
     """Names in the first line, stripped; empty when the file has no header line.
 
@@ -42,7 +48,8 @@ def read_header(spark: SparkSession, path: str, multi_line: bool = True) -> list
     if not start or start[:1] in (b"\n", b"\r"):
         return []
     row = _reader(spark, multi_line).option("header", "false").csv(path).first()
-    names = [(value or "").strip(WHITESPACE) for value in row] if row else []
+    texts = [(value or "").encode("iso-8859-1").decode("utf-8", "replace") for value in row] if row else []
+    names = [text.removeprefix("\ufeff").strip(WHITESPACE) for text in texts]
     if names and start == b"\xef\xbb\xbf":
         names[0] = "﻿" + names[0]
     return names
@@ -77,7 +84,7 @@ def read_raw(
         .schema(schema)
         .csv(path)
         .select(
-            "*",
+            *[_decoded(F.col(f"`{n}`")).alias(n) for n in names],
             F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_order"),

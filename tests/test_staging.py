@@ -219,3 +219,12 @@ def test_jdbc_options():
     for bad in ("x", 0, -1):
         with pytest.raises(ValueError):
             jdbc_options(bad)
+
+
+def test_replacement_characters_and_other_letters_are_legal_text(spark, tmp_path, specs):
+    rows = [basic_row(1, charge_desc="was \ufffd here"), basic_row(2, charge_desc="\u3000Straße 日本\u3000")]
+    write_csv(folder(tmp_path), BASIC, rows)
+    write_csv(folder(tmp_path), DETAILS, [details_row(1)])
+    load(spark, tmp_path, specs)
+    found = {r.report_id: r.charge_desc for r in spark.table(specs[0].table).collect()}
+    assert sorted(found.values()) == ["Straße 日本", "was \ufffd here"]
