@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +32,17 @@ def fold(id_column: str, parts: int) -> Column:
     return F.crc32(F.col(id_column).cast("string")) % parts
 
 
+def drawn(df: DataFrame, id_column: str, rows: int) -> DataFrame:
+    """About ``rows`` rows by the hash of their id, never more than twice as many; all if there are fewer.
+
+    A count and a filter, so that no task sends more than its share to the driver.
+    """
+    total = df.count()
+    if total <= rows:
+        return df
+    return df.filter(F.xxhash64(id_column) / F.lit(2.0**64) + 0.5 <= rows / total).limit(2 * rows)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Deal rows over the cores when the input has fewer partitions than there are cores.
 
@@ -42,7 +54,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 def row_chunks(batch: pa.RecordBatch, column: str, budget: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose ``column`` holds about ``budget`` bytes; a longer row stands alone."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start, held = 0, 0
     for i, size in enumerate(sizes):
         if held and held + size > budget:
@@ -60,7 +72,7 @@ def regrouped(batches: Iterator[pa.RecordBatch], column: str, budget: int = CHUN
     for batch in batches:
         for part in row_chunks(batch, column, budget):
             waiting.append(part)
-            held += pa.compute.sum(pa.compute.binary_length(part.column(column))).as_py() or 0
+            held += pc.sum(pc.binary_length(part.column(column))).as_py() or 0
             if held >= budget:
                 yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
                 waiting, held = [], 0

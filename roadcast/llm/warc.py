@@ -29,14 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadcast.llm.common import file_system, regrouped, scratch_path, stored, write_whole
+from roadcast.llm.common import drawn, file_system, regrouped, scratch_path, stored, write_whole
 
 SKIPPABLE_MAGIC = 0x184D2A5D
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MIN_REVISIT = 100
 LEVEL = 3
 READ_BYTES = 1 << 20
-#: The dictionary is fitted on at most so many records, none with a longer payload than this.
+#: The dictionary is fitted on about so many records, none with a longer payload than this.
 SAMPLE_RECORDS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 50_000, 65_536
 MANIFEST = "file string, records long"
 
@@ -164,10 +164,9 @@ def write_archives(
     """Write one file a task. Returns the manifest: ``file, records``."""
     rows = with_revisits(pages, id_column, url_column, payload_column, min_revisit)
     sample = (
-        pages.filter(F.length(payload_column).between(1, SAMPLE_CHARS))
+        drawn(pages, id_column, SAMPLE_RECORDS)
+        .filter(F.length(payload_column).between(1, SAMPLE_CHARS))
         .select(F.col(id_column).alias("page_id"), F.col(url_column).alias("url"), F.col(payload_column).alias("payload"))
-        .orderBy(F.xxhash64("page_id"), "page_id")
-        .limit(SAMPLE_RECORDS)
         .collect()
     )
     dictionary = train_dictionary(
