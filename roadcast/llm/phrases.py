@@ -151,7 +151,7 @@ def _below(bounds: list[int], key: Column) -> Column:
         return F.lit(0)
     lasts = F.array(*[F.lit(g[-1]) for g in groups])
     coarse = F.size(F.filter(lasts, lambda b: b < key))
-    fine = F.array(*[F.array(*map(F.lit, g)) for g in [*groups, groups[0][:0] or [2**63 - 1]]])
+    fine = F.array(*[F.array(*map(F.lit, g)) for g in [*groups, [2**63 - 1]]])
     inside = F.size(F.filter(F.get(fine, coarse), lambda b: b < key))
     return coarse * width + inside
 

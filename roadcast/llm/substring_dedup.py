@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -69,11 +70,11 @@ def packs(docs: DataFrame) -> DataFrame:
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         options = pa.ipc.IpcWriteOptions(compression="zstd")
         for number, batch in enumerate(regrouped(batches, "text", PACK_BYTES)):
-            batch = batch.take(pa.compute.sort_indices(batch.column("doc_id"), null_placement="at_end"))
+            batch = batch.take(pc.sort_indices(batch.column("doc_id"), null_placement="at_end"))
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
                 writer.write_batch(batch)
-            size = pa.compute.sum(pa.compute.binary_length(batch.column("text"))).as_py() or 0
+            size = pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([(TaskContext.get().partitionId() << 32) + number]),
@@ -147,7 +148,7 @@ class Pack:
     def __init__(self, rows: bytes, length: int):
         self.table = unpacked(rows)
         text = self.table["text"]
-        sizes = pa.compute.fill_null(pa.compute.binary_length(text), 0).to_numpy()
+        sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy()
         self.bounds = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
         self.raw = np.frombuffer(b"".join(t.as_buffer() for chunk in text.chunks for t in chunk if t.is_valid), np.uint8)
         ids = self.table["doc_id"]
