@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadcast.llm.common import regrouped
+from roadcast.llm.common import drawn, regrouped
 
 WORD = re.compile(r"[^\W\d_]+")
 STEPS = (1 / 64, 1 / 16, 1 / 4)
@@ -87,9 +87,13 @@ def chosen_features(rows: list[tuple[np.ndarray, float]], least_z: float, always
     if not len(labels) or labels.min() == labels.max():
         return np.array(sorted(set(always)), np.int64)
     flat = np.concatenate([f for f, _ in rows])
-    row = np.repeat(np.arange(len(rows)), [len(f) for f, _ in rows])
-    values, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    sums = np.bincount(inverse, labels[row], len(values))
+    order = np.argsort(flat)
+    own = np.repeat(labels.astype(np.float32), [len(f) for f, _ in rows])[order]
+    flat = flat[order]
+    del order
+    starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(flat)), bool), flat[1:] != flat[:-1])))
+    values, counts = flat[starts], np.diff(np.append(starts, len(flat)))
+    sums = np.add.reduceat(own, starts, dtype=np.float64) if len(starts) else np.empty(0)
     rest = len(labels) - counts
     fits = (counts >= LEAST_COUNT) & (rest > 0)
     gap = sums / counts - (labels.sum() - sums) / np.maximum(rest, 1)
@@ -111,13 +115,13 @@ def design(rows: list[np.ndarray], chosen: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most_rows: int) -> DataFrame:
-    """``doc_id, text, label`` of at most ``most_rows`` labelled documents, those with the least id hashes.
+    """``doc_id, text, label`` of about ``most_rows`` labelled documents, by the hash of their ids.
 
     ``labels`` has ``doc_id`` and ``label``; of several labels of a document the greatest counts.
     """
     one = labels.filter("label IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
-    few = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
-    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")  # most_rows bounds what is broadcast
+    few = drawn(one, "doc_id", most_rows)
+    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")  # twice most_rows bounds what is broadcast
 
 
 def sampled_features(sample: DataFrame, shapes: bool, twin=None) -> list[tuple]:

@@ -5,7 +5,7 @@ All grades share one set of weights; ordered thresholds cut the text's score int
 tail probabilities ``P(grade >= k)``, by which texts are selected.
 
 Features are distinct words and token shapes of the whole text (``hashed``), chosen on a
-sample of at most ``SAMPLE_ROWS`` graded documents.
+sample of about ``SAMPLE_ROWS`` graded documents.
 
 Defined cases: a null or empty text has score 0; with no graded row the expected grade is
 null and nothing is kept; a single grade is always expected; repeated rows are graded

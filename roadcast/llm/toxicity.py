@@ -4,7 +4,7 @@ Sentences that mention a group are copied with the group's name swapped for anot
 kind. Beside the likelihood of the labels, training penalises the squared difference of
 the two scores, so that a name alone does not make a neutral sentence toxic.
 
-Features are the distinct words of the whole text, chosen on a sample of at most
+Features are the distinct words of the whole text, chosen on a sample of about
 ``SAMPLE_ROWS`` labelled documents; identity terms are always among them.
 
 Defined cases: a null or empty text has no words and gets the score of the intercept; with
