@@ -30,13 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadcast.llm.common import file_system, regrouped, scratch_path, stored, write_whole
+from roadcast.llm.common import drawn, file_system, regrouped, scratch_path, stored, write_whole
 from roadcast.llm.tokens import WordEncoder
 
 MAGIC = b"TIDS1\n"
 TAIL = "<6Q"
-LEVEL = 3
-#: The dictionary is fitted on at most so many texts, none longer than this.
+LEVEL, TEXT_BYTES = 3, 2 << 20
+#: The dictionary is fitted on about so many texts, none longer than this.
 SAMPLE_TEXTS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 20_000, 32_768
 
 
@@ -58,9 +58,9 @@ def train_dictionary(texts: list[str], tokenizer_path: str, end_id: int) -> byte
 
 
 def dictionary_sample(docs: DataFrame) -> list[str]:
-    """At most ``SAMPLE_TEXTS`` whole texts, those with the least hash of their id."""
-    fitting = docs.filter(F.length("text").between(1, SAMPLE_CHARS))
-    return [r["text"] for r in fitting.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_TEXTS).select("text").collect()]
+    """About ``SAMPLE_TEXTS`` whole texts, in a fixed order."""
+    fitting = drawn(docs, "doc_id", SAMPLE_TEXTS).filter(F.length("text").between(1, SAMPLE_CHARS))
+    return sorted(r["text"] for r in fitting.select("text").collect())
 
 
 def shard_bytes(
@@ -73,7 +73,7 @@ def shard_bytes(
     head = MAGIC + bytes([width]) + hashlib.sha256(dictionary).digest()
     yield head
     at, offsets, counts, ids_of, nulls = len(head), [len(head)], [], [], []
-    for batch in regrouped(batches, "text"):
+    for batch in regrouped(batches, "text", TEXT_BYTES):
         ids, bounds = encoder.encode(batch.column("text").to_pylist(), end_id)
         raw = memoryview(ids.astype(f"<u{width}").tobytes())
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):

@@ -12,13 +12,16 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 CUT = re.compile(rf"[ \t\n\r]*[{_LETTER}]+(?=[.,;:|!?])|[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+#: The same for a tokenizer that drops white space.
+BARE_CUT = re.compile(rf"[{_LETTER}]+(?=[.,;:|!?])|[^ \t\n\r]+")
 RARE_SPACE = re.compile(r"[^\S \t\n\r]")
-MEMO_WORDS = 500_000
+MEMO_WORDS = 800_000
 
 
 class _Places(dict):
@@ -41,6 +44,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        plain, spaced, space = (self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("a", " \na\t", " \n\t"))
+        self.cut = BARE_CUT if plain == spaced and not space else CUT
         self._forget()
 
     @classmethod
@@ -64,7 +69,7 @@ class WordEncoder:
         self.places.new = []
         lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
         starts = len(self.ids) + np.cumsum(lengths) - lengths
-        flat = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(lengths.sum()))
+        flat = np.fromiter(chain.from_iterable(encoded), np.uint32, int(lengths.sum()))
         self.ids = np.concatenate([self.ids, flat])
         self.starts = np.concatenate([self.starts, starts])
         self.lengths = np.concatenate([self.lengths, lengths])
@@ -78,7 +83,7 @@ class WordEncoder:
         for text in texts:
             before = len(cuts)
             if text:
-                cuts += [text] if RARE_SPACE.search(text) else CUT.findall(text)
+                cuts += [text] if RARE_SPACE.search(text) else self.cut.findall(text)
             counts.append(len(cuts) - before)
         at = np.fromiter(map(self.places.__getitem__, cuts), np.int64, len(cuts))
         if self.places.new:
