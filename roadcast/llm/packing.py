@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from roadcast.llm.common import regrouped, spread, stored
 from roadcast.llm.tokens import WordEncoder
 
-SALT_ROWS = 50_000
+SALT_ROWS = 500
 
 
 # --- the plan --------------------------------------------------------------------------
@@ -144,15 +144,16 @@ def token_pieces(
 # --- places ----------------------------------------------------------------------------
 
 
-def ranked(pieces: DataFrame, rows: int) -> DataFrame:
+def ranked(pieces: DataFrame, histogram: dict[int, int]) -> DataFrame:
     """Number the pieces of each length from 0 in ``rank``.
 
-    A length is numbered in ``salt`` groups of about ``SALT_ROWS`` rows at most, so that no
-    task gets all pieces of a common length; the groups' sizes give where each begins.
+    A length is numbered in ``salt`` groups of about ``SALT_ROWS`` rows, so that no task gets
+    all pieces of a common length; the groups' sizes give where each begins.
     """
-    salts = 1 + rows // SALT_ROWS
+    salts = [1 + histogram.get(n, 0) // SALT_ROWS for n in range(max(histogram, default=0) + 1)]
     order = ("doc_id", "piece", "start", "ids_crc32")
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
+    own = F.get(F.array(*map(F.lit, salts)), F.col("length").cast("int"))
+    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), own))
     sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = F.coalesce(
         F.sum("n").over(W.partitionBy("length").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
@@ -171,7 +172,7 @@ def packed(pieces: DataFrame, capacity: int) -> DataFrame:
     if histogram and not 0 < min(histogram) <= max(histogram) <= capacity:
         raise ValueError("lengths must lie between 1 and the capacity")
     table = plan_table(plan_bins(histogram, capacity))
-    numbered = ranked(pieces, sum(histogram.values()))
+    numbered = ranked(pieces, histogram)
     schema = numbered.drop("rank").schema.add("sequence_id", "long").add("offset", "long")
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
