@@ -1,8 +1,9 @@
-"""SimHash near-duplicates by pivot distance tables.
+"""SimHash near-duplicates by pivot distance tables, and documents of a Jaccard similarity.
 
 ``fingerprints`` gives each text a SimHash over word shingles, ``near_links`` finds
 fingerprints within a Hamming radius and ``near_classes`` labels documents by the
-connected component of their fingerprint.
+connected component of their fingerprint. ``similar_documents``, for the pipeline, finds
+candidates by MinHash keys and decides them by the shingle sets themselves.
 
 Candidates meet through keys: fingerprints that agree on a choice of bits share a row
 group. Inside a group every fingerprint carries its distances to fixed reference
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadcast.llm.common import spread, stored
+from roadcast.llm.common import row_chunks, spread, stored
 from roadcast.operators.components import component_labels
 
 HASH_SEED = 42
@@ -109,16 +110,6 @@ def block_choices(bits: int, radius: int) -> list[np.ndarray]:
     return [np.concatenate(pair) for pair in combinations(blocks, 2)]
 
 
-def sampled_choices(bits: int, width: int, tables: int, seed: int = 7) -> list[np.ndarray]:
-    """``tables`` random choices of ``width`` bits, for radii that are too wide for ``block_choices``.
-
-    Fingerprints that differ in a share ``p`` of their bits meet with probability
-    ``1 - (1 - (1 - p) ** width) ** tables``.
-    """
-    rng = np.random.default_rng(seed)
-    return [np.sort(rng.choice(bits, width, replace=False)) for _ in range(tables)]
-
-
 def keyed(classes: DataFrame, choices: list[np.ndarray]) -> DataFrame:
     """``tab, key, node, fp``: each class once for every choice of bits."""
 
@@ -284,19 +275,165 @@ def linked_documents(
     return near_classes(prints, block_choices(64, radius), radius, 1)
 
 
-#: Of 256 bits. Jaccard similarity 0.8 of shingle multisets is a cosine of 2 * 0.8 / 1.8,
-#: hence an angle of 0.476 and 0.476 / pi of the bits.
-WIDE_LANES, WIDE_RADIUS, WIDE_WIDTH, WIDE_TABLES = 4, 38, 20, 48
+# --- similar documents -----------------------------------------------------------------
+
+#: A pair shares a band of ``BAND_ROWS`` minima with probability J ** 8: of 32 bands, 0.997 find one at 0.8.
+BANDS, BAND_ROWS = 32, 8
+GROUP_BYTES, CELL_BYTES, MOST_CELL_BYTES = 8 << 20, 1 << 19, 4 << 20
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, shingle))
+
+
+def _digest(own: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(own.tobytes())
+
+
+def _band_hashes(seed: int = 13) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(seed)
+    flips, factors = rng.integers(0, 2**32, (2, BANDS * BAND_ROWS), np.uint32, endpoint=False)
+    return flips, factors | np.uint32(1)
+
+
+BAND_HASHES = _band_hashes()
+
+
+def band_keys(own: np.ndarray) -> np.ndarray:
+    """A 64-bit key for each band of least hashes of a set that is not empty (MinHash)."""
+    flips, factors = BAND_HASHES
+    upper = (own >> np.uint64(32)).astype(np.uint32)
+    least = np.full(len(flips), 2**32 - 1, np.uint32)
+    for at in range(0, len(upper), SMALL_RUN):
+        hashes = upper[at : at + SMALL_RUN, None] ^ flips
+        hashes *= factors
+        np.minimum(least, hashes.min(axis=0), out=least)
+    keys = [xxhash.xxh64_intdigest(part.tobytes(), band) for band, part in enumerate(least.reshape(BANDS, BAND_ROWS))]
+    return np.array(keys, np.uint64).view(np.int64)
+
+
+def signatures(docs: DataFrame, shingle: int) -> DataFrame:
+    """``doc_id, same, size, bands``: digest and size of each row's shingle set, and its keys (none for no words)."""
+    rows = spread(docs, "doc_id")
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in row_chunks(whole, "text")):
+            same, size, bands = [], [], []
+            for text in batch.column("text"):
+                own = shingle_set(text.as_py(), shingle)
+                same.append(_digest(own))
+                size.append(len(own))
+                bands.append(band_keys(own) if len(own) else own.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"), pa.array(same, pa.binary()), pa.array(size, pa.int64()),
+                    pa.array(bands, pa.list_(pa.int64())),
+                ],
+                names=["doc_id", "same", "size", "bands"],
+            )
+
+    return rows.mapInArrow(of, "doc_id long, same binary, size long, bands array<long>")
+
+
+def candidate_links(classes: DataFrame) -> DataFrame:
+    """``a, b``: every node and the least one with which it shares a key; least ids are aggregated, nothing is gathered."""
+    keys = classes.filter("node IS NOT NULL").select("node", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
+    return keys.join(shared, "key").filter("node > least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+
+
+def jaccard_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that connect the sets as all pairs with a Jaccard similarity of 0.8 or more would, by breadth-first search.
+
+    Every set is compared, exactly, with those that no search has reached yet.
+    """
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    starts = np.cumsum(sizes) - sizes
+    number = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    own = np.zeros(int(number.max()) + 1, bool)
+    rest, links = np.arange(len(sets)), []
+    while len(rest):
+        queue, rest = [int(rest[0])], rest[1:]
+        while queue and len(rest):
+            at = queue.pop()
+            fits = np.flatnonzero(5 * np.minimum(sizes[rest], sizes[at]) >= 4 * np.maximum(sizes[rest], sizes[at]))
+            if not len(fits):
+                continue
+            other = rest[fits]
+            ends = np.cumsum(sizes[other])
+            place = np.repeat(starts[other] - (ends - sizes[other]), sizes[other]) + np.arange(ends[-1])
+            mine = number[starts[at] : starts[at] + sizes[at]]
+            own[mine] = True
+            both = np.add.reduceat(own[number[place]], ends - sizes[other], dtype=np.int64)
+            own[mine] = False
+            near = 9 * both >= 4 * (sizes[at] + sizes[other])
+            links += [(at, x) for x in other[near].tolist()]
+            queue += other[near].tolist()
+            rest = np.delete(rest, fits[near])
+    return links
+
+
+def verified_links(docs: DataFrame, classes: DataFrame, labels: DataFrame, shingle: int) -> DataFrame:
+    """``a, b`` that connect the pairs inside a ``component`` of ``labels`` whose similarity is 0.8 or more.
+
+    Small components share groups of about ``GROUP_BYTES``. A larger one is dealt into chunks, and every
+    two chunks meet in a group of their own, so that all its pairs are decided in bounded groups.
+    """
+    members = stored(labels.join(classes.select("node", "same", "size"), "node"), "near-members")
+    whole = members.groupBy("component").agg(F.sum(8 * F.col("size")).alias("bytes"))
+    groups = 1 + (members.agg(F.sum(8 * F.col("size"))).first()[0] or 0) // GROUP_BYTES
+    chunk = F.greatest(F.lit(CELL_BYTES), F.least(F.lit(MOST_CELL_BYTES), F.col("bytes") / 8))
+    chunks = F.when(F.col("bytes") > 2 * CELL_BYTES, F.ceil(F.col("bytes") / chunk)).otherwise(1).cast("int")
+    dealt = (
+        members.join(whole, "component")
+        .withColumn("chunks", chunks)
+        .withColumn("mine", F.pmod(F.xxhash64("same"), "chunks").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .select(
+            "node", "same", "component", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
+            F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("component"), F.lit(groups))).alias("part"),
+        )
+        .withColumn("alone", F.when(F.col("part").isNull(), F.col("component")))
+    )
+    texts = docs.select(F.col("doc_id").alias("node"), "text")
+
+    def of(table: pa.Table) -> pa.Table:
+        found: dict[int, dict[bytes, tuple[int, np.ndarray]]] = {}
+        for node, same, component, text in zip(*(table[c] for c in ("node", "same", "component", "text")), strict=True):
+            own = shingle_set(text.as_py(), shingle)
+            if _digest(own) == same.as_py():  # else another row with this id
+                found.setdefault(component.as_py(), {})[same.as_py()] = (node.as_py(), own)
+        a, b = [], []
+        while found:
+            nodes, own = zip(*found.popitem()[1].values(), strict=True)
+            for i, j in jaccard_links(list(own)):
+                a.append(nodes[i])
+                b.append(nodes[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.join(texts, "node").groupBy("part", "alone", "low", "high").applyInArrow(of, "a long, b long")
 
 
 def similar_documents(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5
 ) -> DataFrame:
-    """Components of documents whose 256-bit fingerprints show a similarity of 0.8 or more.
+    """``doc_id, component_id``: components of rows whose shingle sets have a Jaccard similarity of 0.8 or more.
 
-    A pair at 0.9 meets in some table with probability 0.996, at 0.95 with 0.99999. Texts
-    without words are one class of their own, as their fingerprint of zero is far from all others.
+    Candidates share a key of ``band_keys``: a pair at 0.8 is found with probability 0.997, at 0.85
+    with 0.99996. Each candidate component's pairs are then decided by their sets, so no link is
+    below 0.8. Rows with equal sets are one class, named by its least id, before any comparison;
+    texts without words are a class of their own.
     """
-    prints = stored(fingerprints(docs, id_column, text_column, shingle, WIDE_LANES), "simhash-prints")
-    choices = sampled_choices(64 * WIDE_LANES, WIDE_WIDTH, WIDE_TABLES)
-    return near_classes(prints, choices, WIDE_RADIUS, WIDE_LANES)
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    prints = stored(signatures(rows, shingle), "near-prints")
+    classes = stored(
+        prints.groupBy("same").agg(F.min("doc_id").alias("node"), F.first("size").alias("size"), F.first("bands").alias("bands")),
+        "near-classes",
+    )
+    candidates = component_labels(stored(candidate_links(classes), "near-candidates"))
+    links = stored(verified_links(rows, classes, candidates, shingle), "near-links")
+    labels = component_labels(links)
+    named = stored(
+        classes.join(labels, "node", "left").select("same", F.coalesce("component", "node").alias("component_id")), "near-named"
+    )
+    return prints.join(named, "same").select("doc_id", "component_id")
