@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadcast.llm import (
+    bpe,
     decontaminate,
     language,
     packing,
@@ -129,3 +130,8 @@ def op2_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.get("tails", F.lit(1)), F.lit(0.0)).alias("p_clean"),
         F.coalesce(tail >= 0.5, F.lit(False)).alias("keep"),
     )
+
+
+@register
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.coded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
