@@ -78,3 +78,43 @@ SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS
        coalesce(n_spans, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
 FROM d JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
 """
+
+ORACLE["op13_source_divergence"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+),
+words AS (SELECT doc, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 30),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups AS (SELECT DISTINCT lang, source FROM d),
+langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source),
+shares AS (
+    SELECT lang, source, term, coalesce(n, 0) AS n,
+           1 + (1000000000 * (coalesce(n, 0) + 5)) // (coalesce(total, 0) + 5 * v) AS p,
+           1 + (1000000000 * (lang_n + 5)) // (lang_total + 5 * v) AS q
+    FROM groups JOIN langs USING (lang) JOIN kept USING (lang)
+    LEFT JOIN totals USING (lang, source) LEFT JOIN counts USING (lang, source, term)
+),
+differences AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source
+),
+parts AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN differences x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM parts
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR place <= 50
+"""

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadcast.llm import (
+    alignment,
     bpe,
     decontaminate,
+    divergence,
     language,
     packing,
     phrases,
@@ -135,3 +137,14 @@ def op2_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.coded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register
+def op11_aligned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.aligned(table(spark, sf_dir, "documents"), *paths)
+
+
+@register
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), least_docs=30, top=50)
