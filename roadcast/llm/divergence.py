@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from roadcast.llm.bpe import LOWER, slices
 from roadcast.llm.common import regrouped, stored
 
-BATCH_BYTES = 4 << 20
-TASK_ROWS = 400_000  # a task sums its counts when it holds so many rows, and lets them go if so many remain
+BATCH_BYTES = 1 << 20
+TASK_ROWS = 200_000  # a task sums its counts when it holds so many rows, and lets them go if so many remain
 SHARD_ROWS, CHUNK_CELLS, BLOCK_SOURCES = 100_000, 1 << 20, 256
 SMOOTHING, SCALE_STEPS, STEP = 5, 3, 1000
 SKY_BLOCK = 256
@@ -96,6 +96,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 held = [summed(held)]
                 if held[0].num_rows >= TASK_ROWS // 2:
                     yield from held.pop().to_batches(max_chunksize=65_536)
+                    pa.default_memory_pool().release_unused()
         if held:
             yield from summed(held).to_batches(max_chunksize=65_536)
 
