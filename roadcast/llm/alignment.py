@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadcast.llm.bpe import CHAR_TO_BYTE
-from roadcast.llm.common import regrouped, stored
+from roadcast.llm.common import kept, regrouped, stored
 from roadcast.llm.tokens import WordEncoder
 
 BATCH_BYTES, BLOCK_BYTES = 1 << 20, 8 << 20
@@ -60,6 +59,9 @@ class TokenPair:
         self.bytes_b = [
             bytes([int(piece[3:5], 16)]) if byte else piece.replace(PIECE_SPACE, " ").encode() for piece, byte in pieces
         ]
+        # a byte-level vocabulary with every single byte gives any text back
+        self.lossless = self.a.tokenizer.normalizer is None and {bytes([i]) for i in range(256)} <= set(self.bytes_a)
+        self.groups_text = GroupsText(len(self.bytes_a), len(self.bytes_b))
         self.lengths_a, self.lengths_b = (np.array([*map(len, x)], np.int64) for x in (self.bytes_a, self.bytes_b))
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
@@ -76,14 +78,15 @@ class TokenPair:
             a, b = ids[bounds[nth] : bounds[nth + 1] - 1], pieces[nth]
             nth += 1
             whole = b" " + text.encode()
-            fits = b"".join([self.bytes_a[i] for i in a.tolist()]) == whole == b"".join([self.bytes_b[i] for i in b])
+            fits = (self.lossless or b"".join(map(self.bytes_a.__getitem__, a.tolist())) == whole) and (
+                b"".join(map(self.bytes_b.__getitem__, b)) == whole
+            )
             yield (a.astype(np.int64), np.array(b, np.int64)) if fits else None
 
 
-@lru_cache(maxsize=1)
 def pair_of(byte_bpe_path: str, piece_path: str) -> TokenPair:
     """The tokenizers of this worker process; they outlive a task."""
-    return TokenPair(byte_bpe_path, piece_path)
+    return kept(("pair", byte_bpe_path, piece_path), lambda: TokenPair(byte_bpe_path, piece_path))
 
 
 def common_cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[int], list[int]]:
@@ -102,15 +105,21 @@ def links_of(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
 
 
-def groups_text(a: np.ndarray, b: np.ndarray, cuts_a: list[int], cuts_b: list[int]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the decimal ids of every group."""
-    one, two = [*map(str, a.tolist())], [*map(str, b.tolist())]
-    return ";".join(
-        [
-            f"{one[i]}|{two[k]}" if j - i == 1 == m - k else ",".join(one[i:j]) + "|" + ",".join(two[k:m])
-            for i, j, k, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:], strict=False)
-        ]
-    )
+class GroupsText:
+    """Writes groups as ``a1,a2|b1;a3|b2,b3``: every id is a ready string that brings the sign behind it along."""
+
+    def __init__(self, entries_a: int, entries_b: int):
+        self.tables = [f"{i}{sign}" for entries, signs in ((entries_a, ",|"), (entries_b, ",;")) for sign in signs for i in range(entries)]
+        self.starts = 0, entries_a, 2 * entries_a, 2 * entries_a + entries_b
+
+    def __call__(self, a: np.ndarray, b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> str:
+        order = np.empty(len(a) + len(b), np.int64)
+        one, two = a + self.starts[0], b + self.starts[2]
+        one[cuts_a[1:] - 1] += self.starts[1] - self.starts[0]
+        two[cuts_b[1:] - 1] += self.starts[3] - self.starts[2]
+        order[np.arange(len(a)) + np.repeat(cuts_b[:-1], np.diff(cuts_a))] = one
+        order[np.arange(len(b)) + np.repeat(cuts_a[1:], np.diff(cuts_b))] = two
+        return "".join(map(self.tables.__getitem__, order.tolist()))[:-1]
 
 
 BLOCK_SCHEMA = pa.schema(
@@ -140,31 +149,36 @@ class _Block:
     """What a task gathers until it writes a block."""
 
     def __init__(self):
-        self.bytes, self.docs, self.keys = 0, [], []
+        self.bytes, self.docs, self.keys, self.times = 0, [], [], []
 
     def add(self, doc_id: int | None, ids: tuple[np.ndarray, np.ndarray] | None, pair: TokenPair, size: int) -> None:
         row = {"doc_id": doc_id, "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": ""}
-        keys = np.empty(0, np.int64)
+        keys = times = np.empty(0, np.int64)
         if ids is not None:
             a, b = ids
             ends_a, ends_b = np.cumsum(pair.lengths_a[a]), np.cumsum(pair.lengths_b[b])
             cuts_a, cuts_b = common_cuts(ends_a, ends_b)
             at_a, at_b = links_of(ends_a, ends_b)
-            keys = a[at_a] * len(pair.bytes_b) + b[at_b]
-            digest = hashlib.sha256(groups_text(a, b, cuts_a, cuts_b).encode()).hexdigest()
-            row.update(n_a=len(a), n_b=len(b), n_groups=len(cuts_a) - 1, n_links=len(keys), groups_sha256=digest)
+            keys, times = np.unique(a[at_a] * len(pair.bytes_b) + b[at_b], return_counts=True)
+            digest = hashlib.sha256(pair.groups_text(a, b, np.array(cuts_a), np.array(cuts_b)).encode()).hexdigest()
+            row.update(n_a=len(a), n_b=len(b), n_groups=len(cuts_a) - 1, n_links=len(at_a), groups_sha256=digest)
         self.docs.append(row)
         self.keys.append(keys)
+        self.times.append(times)
         self.bytes += size
 
     def batch(self, number: int) -> pa.RecordBatch:
         """One row. ``links`` holds, for each text in a row, its distinct pairs (by place in ``pairs``) and their counts."""
-        keys = np.concatenate(self.keys)
-        pairs, place = np.unique(keys, return_inverse=True)
-        doc = np.repeat(np.arange(len(self.docs)), [*map(len, self.keys)])
-        cells, times = np.unique(doc * max(1, len(pairs)) + place, return_counts=True)
-        counts = np.bincount(place, minlength=len(pairs))
-        arrays = np.bincount(cells // max(1, len(pairs)), minlength=len(self.docs)), cells % max(1, len(pairs)), times
+        coded = pa.array(np.concatenate(self.keys)).dictionary_encode()
+        times = np.concatenate(self.times)
+        found = coded.dictionary.to_numpy()
+        order = np.argsort(found)
+        nth = np.empty(len(order), np.int64)
+        nth[order] = np.arange(len(order))
+        place, pairs = nth[coded.indices.to_numpy()], found[order]
+        counts = np.zeros(len(pairs), np.int64)
+        np.add.at(counts, place, times)
+        arrays = np.array([*map(len, self.keys)]), place, times
         packed = zstandard.compress(b"".join(x.astype("<u4").tobytes() for x in arrays), 1)
         entries = pa.StructArray.from_arrays([pa.array(pairs), pa.array(counts, pa.int64())], ["pair", "n"])
         listed = pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), entries)
