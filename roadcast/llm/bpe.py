@@ -24,7 +24,6 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -32,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadcast.llm.common import regrouped
+from roadcast.llm.common import kept, regrouped
 
 BATCH_BYTES = 2 << 20
 #: A worker forgets its words when it holds more of them, or more bytes of them.
@@ -278,6 +277,11 @@ class ForcedBoundaryBPE:
         counts = np.bincount(doc, weights=lengths, minlength=len(texts)).astype(np.int64)
         return self.ids[ragged(self.starts[place], lengths)], np.concatenate(([0], np.cumsum(counts)))
 
+    def encode_ended(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` with ``end_id`` behind every text. Null is empty."""
+        ids, bounds = self.encode([(t or "").encode() for t in texts])
+        return np.insert(ids, bounds[1:], np.uint32(end_id)), bounds + np.arange(len(bounds))
+
     def _tabled(self, texts: list[bytes]) -> np.ndarray:
         """Which texts the byte tables can cut."""
         if not self.by_tables or not texts:
@@ -310,10 +314,9 @@ def split_keeping(text: str, mark: str) -> list[str]:
     return [x for part in parts[:-1] for x in (part, mark)] + parts[-1:]
 
 
-@lru_cache(maxsize=1)
 def coder_of(path: str) -> ForcedBoundaryBPE:
     """The coder of this worker process; it outlives a task."""
-    return ForcedBoundaryBPE(path)
+    return kept(("fragments", path), lambda: ForcedBoundaryBPE(path))
 
 
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

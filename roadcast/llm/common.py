@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -52,6 +54,20 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, F.xxhash64(key))
 
 
+def kept(key: tuple, make: Callable[[], object]) -> object:
+    """The one large object (encoder, word table) that this worker process keeps between tasks.
+
+    A task of another kind lets it go, so a worker that is used again never holds those of several operators.
+    Functions travel to workers by value and with them their modules' variables, so the place is a module
+    entry that only exists in the process.
+    """
+    place = sys.modules.setdefault("_roadcast_kept", types.ModuleType("_roadcast_kept")).__dict__
+    if place.get("key") != key:
+        place.update(key=None, held=None)
+        place.update(held=make(), key=key)
+    return place["held"]
+
+
 def row_chunks(batch: pa.RecordBatch, column: str, budget: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose ``column`` holds about ``budget`` bytes; a longer row stands alone."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()

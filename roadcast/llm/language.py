@@ -18,6 +18,7 @@ empty result; ``lang`` and columns other than the id and the text never reach a
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadcast.llm.common import regrouped, spread
+from roadcast.llm.common import kept, regrouped, spread
 
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 16
@@ -35,12 +36,13 @@ PER_LANGUAGE, TRAIN_CHARS = 300, 20_000
 LEXICON_WORDS, LEXICON_COUNT, LEXICON_SHARE = 2_000, 5, 0.9
 SEQUENCE, BATCH, STEPS, RATE, DECAY, SWITCH = 64, 64, 160, 0.15, 1e-5, 0.06
 CHUNK = 128
-MEMO_WORDS = 200_000
+MEMO_WORDS, BATCH_BYTES = 200_000, 1 << 20
 UNKNOWN = "und"
 RESULT = T.StructType(
     [
         T.StructField("lang_pred", T.StringType()),
         T.StructField("lang_score", T.DoubleType()),
+        T.StructField("lang_confidence", T.DoubleType()),
         T.StructField("lang_words", T.LongType()),
         T.StructField("lang_shares", T.MapType(T.StringType(), T.DoubleType())),
     ]
@@ -271,16 +273,20 @@ def train(texts: list[str], labels: list[str]) -> Model | None:
 
 
 def training_sample(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """``text, lang``: of each language about ``per_language`` texts with the least id hashes."""
-    fitting = labelled.filter(
-        F.col("lang").isNotNull() & F.length("text").between(1, TRAIN_CHARS)
-    )
+    """``text, lang``: of each language about ``per_language`` texts with the least id hashes.
+
+    Of a text of over ``TRAIN_CHARS`` characters two stretches are taken, so that every language is learned.
+    """
+    fitting = labelled.filter(F.col("lang").isNotNull() & (F.length("text") > 0))
     counts = {r["lang"]: r["count"] for r in fitting.groupBy("lang").count().collect()}
     if not counts:
         return fitting.select("text", "lang").limit(0)
     share = F.create_map([F.lit(x) for k, n in counts.items() for x in (k, min(1.0, per_language / n))])
+    half = TRAIN_CHARS // 2
+    middle = F.substr("text", (F.length("text") / 2).cast("int"), F.lit(half))
+    stretch = F.when(F.length("text") <= TRAIN_CHARS, F.col("text")).otherwise(F.concat_ws(" ", F.substring("text", 1, half), middle))
     draw = (F.xxhash64("doc_id", "text") / F.lit(2.0**64)) + 0.5
-    return fitting.filter(draw <= share[F.col("lang")]).select("text", "lang")
+    return fitting.filter(draw <= share[F.col("lang")]).select(stretch.alias("text"), "lang")
 
 
 def fitted(labelled: DataFrame) -> Model | None:
@@ -289,47 +295,71 @@ def fitted(labelled: DataFrame) -> Model | None:
     return train([t for t, _ in rows], [k for _, k in rows])
 
 
-def predict_batch(texts: list[str | None], model: Model, memo: dict) -> tuple[list, list, list, list]:
-    """Language, score, number of words, and each language's share of every text."""
-    if len(memo) > MEMO_WORDS:
-        memo.clear()
+class WordScores:
+    """The score rows of about ``MEMO_WORDS`` words."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.rows = np.empty((0, len(self.model.languages)), np.float32)
+
+    def of(self, lists: list[list[str]]) -> np.ndarray:
+        """``(words, labels)`` of all words in a row."""
+        if len(self.numbers) > MEMO_WORDS:
+            self._forget()
+        fresh = [w for w in dict.fromkeys(w for own in lists for w in own) if w not in self.numbers]
+        self.numbers.update(zip(fresh, range(len(self.numbers), len(self.numbers) + len(fresh)), strict=True))
+        self.rows = np.concatenate([self.rows, self.model.scores(fresh).astype(np.float32)])
+        total = sum(map(len, lists))
+        return self.rows[np.fromiter((self.numbers[w] for own in lists for w in own), np.int64, total)]
+
+
+def predict_batch(texts: list[str | None], model: Model, table: WordScores) -> tuple[list, list, list, list, list]:
+    """Language, score, confidence, number of words, and each language's share of every text.
+
+    The confidence is the mean of every word's greatest marginal, so it is high for a text in several languages too.
+    """
     lists = [words_of(t) for t in texts]
     sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    fresh = [w for w in dict.fromkeys(w for own in lists for w in own) if w not in memo]
-    memo.update(zip(fresh, model.scores(fresh), strict=True))
     filled = np.flatnonzero(sizes)
     labels = [UNKNOWN] * len(texts)
-    scores, shares = [0.0] * len(texts), [{} for _ in texts]
+    scores, sure, shares = [0.0] * len(texts), [0.0] * len(texts), [{} for _ in texts]
     if len(filled):
-        table = np.array([memo[w] for own in lists for w in own])
         begins = np.cumsum(sizes[filled]) - sizes[filled]
-        starts = np.zeros(len(table), bool)
+        starts = np.zeros(int(sizes.sum()), bool)
         starts[begins] = True
-        belief = marginals(table, starts, model.transition, model.initial)
+        belief = marginals(table.of(lists), starts, model.transition, model.initial)
         means = np.add.reduceat(belief, begins, axis=0) / sizes[filled, None]
-        for i, mean in zip(filled.tolist(), means.tolist(), strict=True):
+        greatest = np.add.reduceat(belief.max(axis=1), begins) / sizes[filled]
+        for i, mean, confidence in zip(filled.tolist(), means.tolist(), greatest.tolist(), strict=True):
             best = max(range(len(mean)), key=mean.__getitem__)
-            labels[i], scores[i] = model.languages[best], min(1.0, mean[best])
+            labels[i], scores[i], sure[i] = model.languages[best], min(1.0, mean[best]), min(1.0, confidence)
             shares[i] = dict(zip(model.languages, mean, strict=True))
-    return labels, scores, sizes.tolist(), shares
+    return labels, scores, sure, sizes.tolist(), shares
 
 
 def languages(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with ``RESULT``; ``lang_shares`` says for each language which share of the words it has."""
     rows = spread(docs.select(*[c for c in docs.columns if c not in RESULT.names]), id_column)
     parts = docs.sparkSession.sparkContext.broadcast(model.parts() if model else None)  # buckets x languages numbers
+    fit = uuid.uuid4().hex
     schema = T.StructType([*rows.schema.fields, *RESULT.fields])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, memo = Model(*parts.value) if parts.value else None, {}
-        for batch in regrouped(batches, text_column):
+        # a table belongs to its model: another fit in the same worker gets another one
+        table = kept(("language", fit), lambda: WordScores(Model(*parts.value)) if parts.value else None)
+        for batch in regrouped(batches, text_column, BATCH_BYTES):
             texts = batch.column(text_column).to_pylist()
-            if model:
-                found = predict_batch(texts, model, memo)
+            if table:
+                found = predict_batch(texts, table.model, table)
             else:
-                found = [UNKNOWN] * len(texts), [0.0] * len(texts), [len(words_of(t)) for t in texts], [{}] * len(texts)
-            kinds = (pa.string(), pa.float64(), pa.int64(), pa.map_(pa.string(), pa.float64()))
-            columns = [pa.array(v if k != kinds[3] else [list(d.items()) for d in v], k) for v, k in zip(found, kinds, strict=True)]
+                zeros = [0.0] * len(texts)
+                found = [UNKNOWN] * len(texts), zeros, zeros, [len(words_of(t)) for t in texts], [{}] * len(texts)
+            kinds = (pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.map_(pa.string(), pa.float64()))
+            columns = [pa.array(v if k != kinds[4] else [list(d.items()) for d in v], k) for v, k in zip(found, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=schema.names)
 
     return rows.mapInArrow(of, schema)

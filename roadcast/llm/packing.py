@@ -153,7 +153,7 @@ def ranked(pieces: DataFrame, histogram: dict[int, int]) -> DataFrame:
     salts = [1 + histogram.get(n, 0) // SALT_ROWS for n in range(max(histogram, default=0) + 1)]
     order = ("doc_id", "piece", "start", "ids_crc32")
     own = F.get(F.array(*map(F.lit, salts)), F.col("length").cast("int"))
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), own))
+    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), own))
     sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = F.coalesce(
         F.sum("n").over(W.partitionBy("length").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)

@@ -2,25 +2,26 @@
 
 ``fingerprints`` gives each text a SimHash over word shingles, ``near_links`` finds
 fingerprints within a Hamming radius and ``near_classes`` labels documents by the
-connected component of their fingerprint. ``similar_documents``, for the pipeline, finds
-candidates by MinHash keys and decides them by the shingle sets themselves.
+connected component of their fingerprint.
 
 Candidates meet through keys: fingerprints that agree on a choice of bits share a row
 group. Inside a group every fingerprint carries its distances to fixed reference
 fingerprints (pivots). By the triangle inequality two fingerprints within ``radius``
 differ by at most ``radius`` in each of these distances, so pairs with a larger
-coordinate difference are discarded and only the survivors' bits are compared.
+coordinate difference are discarded and only the survivors' bits are compared. A group of
+over ``LONG_GROUP`` fingerprints is dealt again by choices among the bits it does not share yet;
+fingerprints are distinct, so a group then has at most 2 to the power of the bits left.
 
 Defined cases: a null or empty text, or one of white space, has fingerprint zero and
 links like any other; equal texts have equal fingerprints; repeated rows are rows of
-their own; a null id keeps its row but never names a class unless the class has no
-other id, and then the class is null. Columns other than the id and the text are
+their own, also if they share an id: the class of each follows from its text; a null id keeps its row
+but never names a class unless the class has no other id, and then the class is null. Columns other than the id and the text are
 ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -28,13 +29,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from roadcast.llm.common import row_chunks, spread, stored
+from roadcast.llm.common import spread, stored
 from roadcast.operators.components import component_labels
 
 HASH_SEED = 42
 PIVOTS = 16
 SMALL_RUN = 64
+LONG_GROUP = 4096
+FINER_BLOCKS = 4
 BLOCK = 2048
 
 
@@ -83,19 +87,20 @@ def simhash(hashes: np.ndarray, lanes: int) -> bytes:
     return out
 
 
-def fingerprints(docs: DataFrame, id_column: str, text_column: str, shingle: int, lanes: int) -> DataFrame:
-    """``doc_id, fp`` (binary) for every row of ``docs``."""
-    rows = spread(docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")), "doc_id")
+def fingerprints(
+    docs: DataFrame, id_column: str, text_column: str, shingle: int, lanes: int, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``doc_id, fp`` (binary) and the columns to keep for every row of ``docs``."""
+    rows = spread(docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), *keep), "doc_id")
+    names = ["doc_id", *keep]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [simhash(shingle_hashes(t.as_py(), shingle), lanes) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(prints, pa.binary())], names=["doc_id", "fp"]
-            )
+            kept = [batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(prints, pa.binary())], names=[*names, "fp"])
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(of, f"doc_id {kind}, fp binary")
+    return rows.mapInArrow(of, T.StructType([*(rows.schema[c] for c in names), T.StructField("fp", T.BinaryType())]))
 
 
 # --- keys ------------------------------------------------------------------------------
@@ -218,9 +223,47 @@ def links_in_runs(run: np.ndarray, prints: np.ndarray, radius: int, pivots: np.n
     return np.concatenate([empty, *left]), np.concatenate([empty, *right])
 
 
-def near_links(classes: DataFrame, choices: list[np.ndarray], radius: int, lanes: int) -> DataFrame:
-    """``a, b``: linked nodes. ``classes`` has ``node`` (unique) and ``fp`` (distinct)."""
-    groups = keyed(classes, choices).repartition("tab", "key").sortWithinPartitions("tab", "key")
+def finer(groups: DataFrame, choices: list[np.ndarray], radius: int) -> DataFrame:
+    """The rows of large groups dealt again: each once for every choice among blocks of the bits not in its key.
+
+    ``radius`` differing bits leave ``FINER_BLOCKS - radius`` of these blocks untouched, so linked rows meet again.
+    """
+    bits = np.arange(64)
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tabs, keys = batch.column("tab").to_numpy(), batch.column("key").to_numpy()
+            raw = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint8).reshape(len(tabs), -1)
+            prints = np.unpackbits(raw, axis=1)
+            for tab in np.unique(tabs).tolist():
+                own = np.flatnonzero(tabs == tab)
+                blocks = np.array_split(np.setdiff1d(bits, choices[tab]), FINER_BLOCKS)
+                for nth, chosen in enumerate(combinations(blocks, FINER_BLOCKS - radius)):
+                    choice = np.concatenate(chosen)
+                    weights = np.int64(1) << np.arange(len(choice), dtype=np.int64)
+                    key = keys[own] << np.int64(len(choice)) | prints[own][:, choice].astype(np.int64) @ weights
+                    table = pa.array(np.full(len(own), len(choices) * (nth + 1) + tab, np.int32))
+                    kept = [batch.column(c).take(pa.array(own)) for c in ("node", "fp")]
+                    yield pa.RecordBatch.from_arrays([table, pa.array(key), *kept], names=["tab", "key", "node", "fp"])
+
+    return groups.select("tab", "key", "node", "fp").mapInArrow(of, "tab int, key long, node long, fp binary")
+
+
+def near_links(classes: DataFrame, choices: list[np.ndarray], radius: int) -> DataFrame:
+    """``a, b``: linked nodes. ``classes`` has ``node`` (unique) and ``fp`` (distinct, 64 bits)."""
+    groups = keyed(classes, choices)
+    large = groups.groupBy("tab", "key").count().filter(F.col("count") > LONG_GROUP).select("tab", "key")
+    large = stored(large, "simhash-large")
+    if large.isEmpty():
+        return links_of_groups(groups, radius)
+    rest = groups.join(large, ["tab", "key"], "left_anti").select("tab", "key", "node", "fp")
+    again = finer(groups.join(large, ["tab", "key"], "left_semi"), choices, radius)
+    return links_of_groups(rest.unionByName(again), radius)
+
+
+def links_of_groups(keyed_rows: DataFrame, radius: int) -> DataFrame:
+    lanes = 1
+    groups = keyed_rows.repartition("tab", "key").sortWithinPartitions("tab", "key")
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivots = pivot_fingerprints(lanes)
@@ -252,188 +295,30 @@ def near_links(classes: DataFrame, choices: list[np.ndarray], radius: int, lanes
     return groups.mapInArrow(of, "a long, b long")
 
 
-def near_classes(prints: DataFrame, choices: list[np.ndarray], radius: int, lanes: int) -> DataFrame:
-    """``doc_id, fp, component_id`` for stored ``prints`` (``doc_id`` long, ``fp``).
+def near_classes(prints: DataFrame, choices: list[np.ndarray], radius: int) -> DataFrame:
+    """Stored ``prints`` (``doc_id`` long, ``fp`` of 64 bits, and more) with ``component`` and ``component_id``.
 
-    Equal fingerprints are one class, named by its least id, before any comparison.
+    Equal fingerprints are one class before any comparison, numbered by the fingerprint itself, so
+    that a class is right whatever ids its rows have. ``component`` is the least number in a component,
+    ``component_id`` the least id.
     """
-    classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-classes")
-    links = stored(near_links(classes.filter("node IS NOT NULL"), choices, radius, lanes), "simhash-links")
-    labels = component_labels(links)
-    named = stored(
-        classes.join(labels, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id")),
-        "simhash-named",
-    )
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    number = F.expr("CAST(conv(hex(fp), 16, -10) AS BIGINT)")
+    classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("node", number), "simhash-classes")
+    links = stored(near_links(classes, choices, radius), "simhash-links")
+    joined = classes.join(component_labels(links), "node", "left").select("fp", "least", F.coalesce("component", "node").alias("component"))
+    named = stored(joined, "simhash-named")
+    ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    return prints.join(named.drop("least").join(ids, "component"), "fp")
 
 
 def linked_documents(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 3, radius: int = 2
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle: int = 3,
+    radius: int = 2,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Exact components of 64-bit fingerprints that differ in at most ``radius`` bits."""
-    prints = stored(fingerprints(docs, id_column, text_column, shingle, 1), "simhash-prints")
-    return near_classes(prints, block_choices(64, radius), radius, 1)
-
-
-# --- similar documents -----------------------------------------------------------------
-
-#: A pair shares a band of ``BAND_ROWS`` minima with probability J ** 8: of 32 bands, 0.997 find one at 0.8.
-BANDS, BAND_ROWS = 32, 8
-GROUP_BYTES, CELL_BYTES, MOST_CELL_BYTES = 8 << 20, 1 << 19, 4 << 20
-
-
-def shingle_set(text: str | None, shingle: int) -> np.ndarray:
-    return np.unique(shingle_hashes(text, shingle))
-
-
-def _digest(own: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(own.tobytes())
-
-
-def _band_hashes(seed: int = 13) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(seed)
-    flips, factors = rng.integers(0, 2**32, (2, BANDS * BAND_ROWS), np.uint32, endpoint=False)
-    return flips, factors | np.uint32(1)
-
-
-BAND_HASHES = _band_hashes()
-
-
-def band_keys(own: np.ndarray) -> np.ndarray:
-    """A 64-bit key for each band of least hashes of a set that is not empty (MinHash)."""
-    flips, factors = BAND_HASHES
-    upper = (own >> np.uint64(32)).astype(np.uint32)
-    least = np.full(len(flips), 2**32 - 1, np.uint32)
-    for at in range(0, len(upper), SMALL_RUN):
-        hashes = upper[at : at + SMALL_RUN, None] ^ flips
-        hashes *= factors
-        np.minimum(least, hashes.min(axis=0), out=least)
-    keys = [xxhash.xxh64_intdigest(part.tobytes(), band) for band, part in enumerate(least.reshape(BANDS, BAND_ROWS))]
-    return np.array(keys, np.uint64).view(np.int64)
-
-
-def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id, same, size, bands``: digest and size of each row's shingle set, and its keys (none for no words)."""
-    rows = spread(docs, "doc_id")
-
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in row_chunks(whole, "text")):
-            same, size, bands = [], [], []
-            for text in batch.column("text"):
-                own = shingle_set(text.as_py(), shingle)
-                same.append(_digest(own))
-                size.append(len(own))
-                bands.append(band_keys(own) if len(own) else own.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), pa.array(same, pa.binary()), pa.array(size, pa.int64()),
-                    pa.array(bands, pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "same", "size", "bands"],
-            )
-
-    return rows.mapInArrow(of, "doc_id long, same binary, size long, bands array<long>")
-
-
-def candidate_links(classes: DataFrame) -> DataFrame:
-    """``a, b``: every node and the least one with which it shares a key; least ids are aggregated, nothing is gathered."""
-    keys = classes.filter("node IS NOT NULL").select("node", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
-    return keys.join(shared, "key").filter("node > least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
-
-
-def jaccard_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links that connect the sets as all pairs with a Jaccard similarity of 0.8 or more would, by breadth-first search.
-
-    Every set is compared, exactly, with those that no search has reached yet.
-    """
-    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    starts = np.cumsum(sizes) - sizes
-    number = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    own = np.zeros(int(number.max()) + 1, bool)
-    rest, links = np.arange(len(sets)), []
-    while len(rest):
-        queue, rest = [int(rest[0])], rest[1:]
-        while queue and len(rest):
-            at = queue.pop()
-            fits = np.flatnonzero(5 * np.minimum(sizes[rest], sizes[at]) >= 4 * np.maximum(sizes[rest], sizes[at]))
-            if not len(fits):
-                continue
-            other = rest[fits]
-            ends = np.cumsum(sizes[other])
-            place = np.repeat(starts[other] - (ends - sizes[other]), sizes[other]) + np.arange(ends[-1])
-            mine = number[starts[at] : starts[at] + sizes[at]]
-            own[mine] = True
-            both = np.add.reduceat(own[number[place]], ends - sizes[other], dtype=np.int64)
-            own[mine] = False
-            near = 9 * both >= 4 * (sizes[at] + sizes[other])
-            links += [(at, x) for x in other[near].tolist()]
-            queue += other[near].tolist()
-            rest = np.delete(rest, fits[near])
-    return links
-
-
-def verified_links(docs: DataFrame, classes: DataFrame, labels: DataFrame, shingle: int) -> DataFrame:
-    """``a, b`` that connect the pairs inside a ``component`` of ``labels`` whose similarity is 0.8 or more.
-
-    Small components share groups of about ``GROUP_BYTES``. A larger one is dealt into chunks, and every
-    two chunks meet in a group of their own, so that all its pairs are decided in bounded groups.
-    """
-    members = stored(labels.join(classes.select("node", "same", "size"), "node"), "near-members")
-    whole = members.groupBy("component").agg(F.sum(8 * F.col("size")).alias("bytes"))
-    groups = 1 + (members.agg(F.sum(8 * F.col("size"))).first()[0] or 0) // GROUP_BYTES
-    chunk = F.greatest(F.lit(CELL_BYTES), F.least(F.lit(MOST_CELL_BYTES), F.col("bytes") / 8))
-    chunks = F.when(F.col("bytes") > 2 * CELL_BYTES, F.ceil(F.col("bytes") / chunk)).otherwise(1).cast("int")
-    dealt = (
-        members.join(whole, "component")
-        .withColumn("chunks", chunks)
-        .withColumn("mine", F.pmod(F.xxhash64("same"), "chunks").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select(
-            "node", "same", "component", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
-            F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("component"), F.lit(groups))).alias("part"),
-        )
-        .withColumn("alone", F.when(F.col("part").isNull(), F.col("component")))
-    )
-    texts = docs.select(F.col("doc_id").alias("node"), "text")
-
-    def of(table: pa.Table) -> pa.Table:
-        found: dict[int, dict[bytes, tuple[int, np.ndarray]]] = {}
-        for node, same, component, text in zip(*(table[c] for c in ("node", "same", "component", "text")), strict=True):
-            own = shingle_set(text.as_py(), shingle)
-            if _digest(own) == same.as_py():  # else another row with this id
-                found.setdefault(component.as_py(), {})[same.as_py()] = (node.as_py(), own)
-        a, b = [], []
-        while found:
-            nodes, own = zip(*found.popitem()[1].values(), strict=True)
-            for i, j in jaccard_links(list(own)):
-                a.append(nodes[i])
-                b.append(nodes[j])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return dealt.join(texts, "node").groupBy("part", "alone", "low", "high").applyInArrow(of, "a long, b long")
-
-
-def similar_documents(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5
-) -> DataFrame:
-    """``doc_id, component_id``: components of rows whose shingle sets have a Jaccard similarity of 0.8 or more.
-
-    Candidates share a key of ``band_keys``: a pair at 0.8 is found with probability 0.997, at 0.85
-    with 0.99996. Each candidate component's pairs are then decided by their sets, so no link is
-    below 0.8. Rows with equal sets are one class, named by its least id, before any comparison;
-    texts without words are a class of their own.
-    """
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    prints = stored(signatures(rows, shingle), "near-prints")
-    classes = stored(
-        prints.groupBy("same").agg(F.min("doc_id").alias("node"), F.first("size").alias("size"), F.first("bands").alias("bands")),
-        "near-classes",
-    )
-    candidates = component_labels(stored(candidate_links(classes), "near-candidates"))
-    links = stored(verified_links(rows, classes, candidates, shingle), "near-links")
-    labels = component_labels(links)
-    named = stored(
-        classes.join(labels, "node", "left").select("same", F.coalesce("component", "node").alias("component_id")), "near-named"
-    )
-    return prints.join(named, "same").select("doc_id", "component_id")
+    """Exact components of 64-bit fingerprints that differ in at most ``radius`` bits, and the columns to keep."""
+    prints = stored(fingerprints(docs, id_column, text_column, shingle, 1, keep), "simhash-prints")
+    return near_classes(prints, block_choices(64, radius), radius).select("doc_id", "fp", "component_id", "component", *keep)

@@ -12,7 +12,7 @@ one ``shard-NNNNN.tids`` per range of ids. A shard is
 ``TokenShard`` opens one and gives any document by position without reading the others.
 
 Defined cases: a null or empty text is its end id alone; a null document id sorts first;
-repeated ids are documents of their own, in no fixed order among themselves; an empty
+repeated ids are documents of their own, ordered by a hash of their text; an empty
 table gives a folder with a dictionary and no documents. Other columns are ignored.
 """
 
@@ -31,40 +31,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadcast.llm.common import drawn, file_system, regrouped, scratch_path, stored, write_whole
-from roadcast.llm.tokens import WordEncoder
+from roadcast.llm.bpe import ForcedBoundaryBPE, coder_of
 
 MAGIC = b"TIDS1\n"
 TAIL = "<6Q"
 LEVEL, TEXT_BYTES = 3, 2 << 20
-#: The dictionary is fitted on about so many texts, none longer than this.
-SAMPLE_TEXTS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 20_000, 32_768
+#: The dictionary is fitted on about so many texts, of longer ones on so many characters of their middle.
+SAMPLE_TEXTS, SAMPLE_CHARS, DICTIONARY_BYTES, LEAST_DICTIONARY = 400, 20_000, 32_768, 512
 
 
 def id_width(tokenizer_path: str) -> int:
-    return 2 if WordEncoder.of(tokenizer_path).tokenizer.get_vocab_size() <= 1 << 16 else 4
+    return 2 if len(coder_of(tokenizer_path).entries) <= 1 << 16 else 4
 
 
 def train_dictionary(texts: list[str], tokenizer_path: str, end_id: int) -> bytes:
-    """A dictionary from the id arrays of ``texts``; empty if they are too few or too short to train on."""
+    """A dictionary from the id arrays of ``texts``, the smaller the less there is; empty if they have nothing in common."""
     dtype = f"<u{id_width(tokenizer_path)}"
-    ids, bounds = WordEncoder.of(tokenizer_path).encode(texts, end_id)
+    ids, bounds = coder_of(tokenizer_path).encode_ended(texts, end_id)
     samples = [ids[a:b].astype(dtype).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-    if sum(map(len, samples)) < 8 * DICTIONARY_BYTES or len(samples) < 8:
-        return b""
+    size = min(DICTIONARY_BYTES, sum(map(len, samples)) // 8)
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=256, d=8).as_bytes()
-    except zstandard.ZstdError:  # samples that have nothing in common
+        return zstandard.train_dictionary(max(size, LEAST_DICTIONARY), samples, k=256, d=8).as_bytes()
+    except zstandard.ZstdError:  # a handful of texts, or none
         return b""
 
 
 def dictionary_sample(docs: DataFrame) -> list[str]:
-    """About ``SAMPLE_TEXTS`` whole texts, in a fixed order."""
-    fitting = drawn(docs, "doc_id", SAMPLE_TEXTS).filter(F.length("text").between(1, SAMPLE_CHARS))
-    return sorted(r["text"] for r in fitting.select("text").collect())
+    """About ``SAMPLE_TEXTS`` texts, in a fixed order."""
+    start = F.greatest(F.lit(1), (F.length("text") / 2 - SAMPLE_CHARS / 2).cast("int"))
+    fitting = drawn(docs, "doc_id", SAMPLE_TEXTS).filter(F.length("text") > 0)
+    return sorted(r["text"] for r in fitting.select(F.substr("text", start, F.lit(SAMPLE_CHARS)).alias("text")).collect())
 
 
 def shard_bytes(
-    batches: Iterator[pa.RecordBatch], encoder: WordEncoder, end_id: int, width: int, dictionary: bytes, totals: dict
+    batches: Iterator[pa.RecordBatch], encoder: ForcedBoundaryBPE, end_id: int, width: int, dictionary: bytes, totals: dict
 ) -> Iterator[bytes]:
     """The bytes of one shard; ``totals`` gets its numbers of documents and ids."""
     compressor = zstandard.ZstdCompressor(
@@ -74,7 +74,7 @@ def shard_bytes(
     yield head
     at, offsets, counts, ids_of, nulls = len(head), [len(head)], [], [], []
     for batch in regrouped(batches, "text", TEXT_BYTES):
-        ids, bounds = encoder.encode(batch.column("text").to_pylist(), end_id)
+        ids, bounds = encoder.encode_ended(batch.column("text").to_pylist(), end_id)
         raw = memoryview(ids.astype(f"<u{width}").tobytes())
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             frame = compressor.compress(raw[a * width : b * width])
@@ -144,13 +144,14 @@ def write_token_files(
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, totals = TaskContext.get().partitionId(), {}
-        encoder = WordEncoder.of(tokenizer_path)
+        encoder = coder_of(tokenizer_path)
         name = f"{folder}/shard-{shard:05d}.tids"
         write_whole(name, shard_bytes(batches, encoder, end_id, width, dictionary, totals))
         yield pa.RecordBatch.from_pylist([{"shard": shard, **totals}], schema=manifest)
 
     manifest = pa.schema([("shard", pa.int32()), ("documents", pa.int64()), ("ids", pa.int64())])
-    ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    tied = docs.withColumn("tie", F.xxhash64("text"))
+    ordered = tied.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").drop("tie")
     return stored(ordered.mapInArrow(of, "shard int, documents long, ids long"), "token-manifest")
 
 

@@ -16,6 +16,8 @@ from itertools import chain
 
 import numpy as np
 
+from roadcast.llm.common import kept
+
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 CUT = re.compile(rf"[ \t\n\r]*[{_LETTER}]+(?=[.,;:|!?])|[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: The same for a tokenizer that drops white space.
@@ -50,13 +52,8 @@ class WordEncoder:
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
-        """The encoder of this worker process. It hangs on the library's module, which outlives a task."""
-        import tokenizers
-
-        kept = tokenizers.__dict__.setdefault("_word_encoders", {})
-        if path not in kept:
-            kept[path] = cls(path)
-        return kept[path]
+        """The encoder of this worker process; it outlives a task."""
+        return kept(("words", path), lambda: cls(path))
 
     def _forget(self) -> None:
         self.places = _Places()

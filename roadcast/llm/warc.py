@@ -38,6 +38,7 @@ LEVEL = 3
 READ_BYTES = 1 << 20
 #: The dictionary is fitted on about so many records, none with a longer payload than this.
 SAMPLE_RECORDS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 50_000, 65_536
+LEAST_DICTIONARY = 512
 MANIFEST = "file string, records long"
 
 
@@ -117,12 +118,11 @@ def read_records(source) -> Iterator[bytes]:
 
 
 def train_dictionary(records: list[bytes]) -> bytes:
-    """Empty if the records are too few or too short to train on."""
-    if len(records) < 8 or sum(map(len, records)) < 8 * DICTIONARY_BYTES:
-        return b""
+    """The smaller the less there is to train on; empty if the records have nothing in common."""
+    size = min(DICTIONARY_BYTES, sum(map(len, records)) // 8)
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, records, k=256, d=8).as_bytes()
-    except zstandard.ZstdError:  # records that have nothing in common
+        return zstandard.train_dictionary(max(size, LEAST_DICTIONARY), records, k=256, d=8).as_bytes()
+    except zstandard.ZstdError:  # a handful of records, or none
         return b""
 
 

@@ -64,8 +64,22 @@ def model():
 
 
 def test_switched_text_is_labelled_by_word(model):
-    _, scores, words, shares = language.predict_batch(["the cat and the dog le chat et le chien sont"], model, {})
-    assert words == [11] and 0.35 < shares[0]["en"] < 0.55 and scores[0] == max(shares[0].values())
+    found = language.predict_batch(["the cat and the dog le chat et le chien sont"], model, language.WordScores(model))
+    _, scores, sure, words, shares = found
+    assert words == [11] and 0.35 < shares[0]["en"] < 0.55 and scores[0] == max(shares[0].values()) and sure[0] > 0.9
+
+
+def test_a_language_of_long_texts_only_is_learned(spark):
+    rows = [(i, "the cat and the dog were here " * 5, "en") for i in range(30)] + [(100 + i, "le chat et le chien " * 5000, "fr") for i in range(4)]
+    model = language.fitted(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert language.predict_batch(["le chat et le chien"], model, language.WordScores(model))[0] == ["fr"]
+
+
+def test_words_are_forgotten_in_time(model, monkeypatch):
+    monkeypatch.setattr(language, "MEMO_WORDS", 3)
+    table = language.WordScores(model)
+    lists = [["the", "cat"], ["le", "chat", "the"], ["dog"]]
+    assert all(np.allclose(table.of([own]), model.scores(own), atol=1e-4) for own in lists)
 
 
 def test_edge_texts(spark, model):

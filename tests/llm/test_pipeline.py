@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from roadcast.llm import simhash
 from tests.llm.test_decontaminate import plain as plain_overlap
+from tests.llm.test_simhash import plain_components, plain_fingerprint
 from tests.llm.test_substring_dedup import plain as plain_repeats
 from tests.llm.test_tokens import check_packing
 
@@ -42,18 +42,37 @@ def test_language_stage_keeps_clean_documents(inputs):
     assert all(before[i] == t for i, t in after.items()) and len(after) > 0.97 * len(before)
 
 
+def test_texts_in_four_languages_stay(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").filter("length(text) BETWEEN 400 AND 4000").collect()
+    by_lang = {}
+    for r in docs:
+        by_lang.setdefault(r["lang"], []).append(r["text"])
+    langs = [k for k in by_lang if k]
+    mixed = [(10_000 + i, " ".join(by_lang[k][i % len(by_lang[k])][:400] for k in langs), None, "s", 0) for i in range(20)]
+    table = spark.createDataFrame([tuple(r) for r in docs] + mixed, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in corpus_pipeline.keep_languages(spark, table, SF_DIR).collect()}
+    assert {i for i, *_ in mixed} <= kept
+
+
+def test_without_labels_all_texts_stay(spark):
+    rows = [(i, f"some text {i}", None, "s", 0) for i in range(3)] + [(7, "12 34", None, "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert corpus_pipeline.keep_languages(spark, docs, SF_DIR).count() == 4
+
+
 def test_one_of_each_group_stays(inputs):
-    """Jaccard similarity of five-word shingles, by brute force: far from 0.8 the decision is sure."""
+    """The groups by brute force over all pairs of fingerprints."""
     before, after = texts(inputs[1]), texts(inputs[2])
-    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in before.items()}
-    jaccard = lambda a, b: len(sets[a] & sets[b]) / max(1, len(sets[a] | sets[b]))
-    for i in before:
-        closest = max((jaccard(i, j) for j in before if j < i), default=0)
-        if closest > 0.9:
-            assert i not in after
-        if i not in after:
-            assert closest > 0.6
-    assert all(before[i] == t for i, t in after.items())
+    label = plain_components({i: plain_fingerprint(t) for i, t in before.items()}, corpus_pipeline.MOST_BITS)
+    assert after == {i: before[i] for i in set(label.values())}
+
+
+def test_rows_that_share_an_id_and_not_the_text_stay(spark):
+    rows = [(5, "one text about cats", "en"), (5, "another text about the sea", "en"), (5, "one text about cats", "en"),
+            (5, "one text about cats", None), (2, "something else again", "en"), (None, "no id here", "en"), (None, "no id here", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR).collect()]
+    assert sorted(kept, key=str) == sorted({(i, t) for i, t, _ in rows}, key=str)
 
 
 def test_repeats_are_cut(inputs):

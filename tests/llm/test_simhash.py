@@ -103,81 +103,45 @@ def test_every_near_pair_shares_a_key():
         assert any(not np.isin(choice, differing).any() for choice in simhash.block_choices(64, 2))
 
 
-def test_similar_documents_groups_near_copies_only(spark):
-    rng = np.random.default_rng(5)
-    rows = []
-    for base in range(20):
-        words = [f"w{i}" for i in rng.integers(0, 50_000, 400)]
-        rows.append((base * 10, " ".join(words)))
-        for copy in range(1, 4):
-            edited = list(words)
-            for at in rng.choice(400, 3, replace=False):
-                edited[at] = "edited"
-            rows.append((base * 10 + copy, " ".join(edited)))
-    got = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {(r["doc_id"], r["component_id"]) for r in got} == {(i, i // 10 * 10) for i, _ in rows}
-
-
-def jaccard(a, b):
-    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in (a, b)]
-    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
-
-
-def pairs_at(rng, least, most, count):
-    """``(one, other)`` texts with a Jaccard similarity of five-word shingles in ``[least, most)``."""
-    pairs = []
-    while len(pairs) < count:
-        words = [f"w{i}" for i in rng.integers(0, 50_000, 300)]
-        edited = list(words)
-        for at in rng.choice(300, rng.integers(5, 15), replace=False):
-            edited[at] = "edited"
-        if least <= jaccard(" ".join(words), " ".join(edited)) < most:
-            pairs.append((" ".join(words), " ".join(edited)))
-    return pairs
-
-
-def test_similar_documents_decide_at_the_threshold(spark):
-    rng = np.random.default_rng(8)
-    near, apart = pairs_at(rng, 0.8, 0.84, 60), pairs_at(rng, 0.7, 0.8, 60)
-    rows = [(2 * k + side, text) for k, pair in enumerate(near + apart) for side, text in enumerate(pair)]
-    got = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i // 2 * 2 if i < 120 else i for i, _ in rows}
-
-
-def test_a_repeated_word_does_not_make_texts_alike(spark):
-    texts = ["spam " * 900 + " ".join(f"{side}{i}" for i in range(200)) for side in "ab"]
-    got = simhash.similar_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
-    assert sorted((r["doc_id"], r["component_id"]) for r in got.collect()) == [(0, 0), (1, 1)]
-
-
-def test_large_components_are_decided_chunk_by_chunk(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "CELL_BYTES", 4_000)
-    monkeypatch.setattr(simhash, "MOST_CELL_BYTES", 8_000)
-    rng = np.random.default_rng(9)
-    base = [f"w{i}" for i in range(100)]
-    texts = []
-    for _ in range(120):
-        edited = list(base)
-        for at in rng.choice(100, rng.integers(1, 6), replace=False):
-            edited[at] = f"e{rng.integers(4)}"
-        texts.append(" ".join(edited))
-    classes = spark.createDataFrame(
-        [(i, simhash._digest(own), len(own)) for i, own in enumerate(simhash.shingle_set(t, 5) for t in texts)],
-        "node long, same binary, size long",
-    )
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    labels = spark.createDataFrame([(i, 0) for i in range(120)], "node long, component long")
-    found = label_of(120, simhash.verified_links(docs, classes, labels, 5).collect())
-    assert found == label_of(120, [(a, b) for a in range(120) for b in range(a) if jaccard(texts[a], texts[b]) >= 0.8])
+def test_rows_that_share_an_id_keep_classes_of_their_own(spark):
+    rows = [(5, "a b c d e"), (5, "quite another text stands here"), (2, "a b c d e"), (9, "quite another text stands here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("begin", F.substring("text", 1, 1))
+    got = simhash.linked_documents(docs, keep=("begin",)).collect()
+    assert sorted((r["begin"], r["doc_id"], r["component_id"]) for r in got) == [("a", 2, 2), ("a", 5, 2), ("q", 5, 5), ("q", 9, 5)]
+
+
+@pytest.mark.parametrize("least", [10, 1000])
+def test_large_groups_are_dealt_again(spark, monkeypatch, least):
+    """Thousands of near copies with different fingerprints that share the bits of a key."""
+    monkeypatch.setattr(simhash, "LONG_GROUP", least)
+    rng = np.random.default_rng(4)
+    prints = {0}
+    while len(prints) < 3000:
+        near = int(rng.choice(list(prints)))
+        for bit in rng.integers(0, 32, rng.integers(1, 6)):
+            near ^= 1 << int(bit)
+        prints.add(near)
+    prints = sorted(prints)
+    rows = [(p, p.to_bytes(8, "big")) for p in prints]
+    classes = spark.createDataFrame(rows, "node long, fp binary").repartition(4)
+    links = [(r["a"], r["b"]) for r in simhash.near_links(classes, simhash.block_choices(64, 2), 2).collect()]
+    assert all((a ^ b).bit_count() <= 2 for a, b in links)
+    number = {p: i for i, p in enumerate(prints)}
+    expected = []
+    for p in prints:
+        near = [p ^ 1 << i for i in range(32)] + [p ^ 1 << i ^ 1 << j for i in range(32) for j in range(i)]
+        expected += [(number[p], number[o]) for o in near if o in number]
+    assert label_of(len(prints), [(number[a], number[b]) for a, b in links]) == label_of(len(prints), expected)
 
 
 def label_of(n, links):
     label = list(range(n))
-    changed = True
-    while changed:
-        changed = False
-        for a, b in links:
-            if label[a] != label[b]:
-                label[a] = label[b] = min(label[a], label[b])
-                changed = True
-    return label
+
+    def root(i):
+        while label[i] != i:
+            label[i] = i = label[label[i]]
+        return i
+
+    for a, b in links:
+        label[max(root(a), root(b))] = min(root(a), root(b))
+    return [root(i) for i in range(n)]
