@@ -3,18 +3,20 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as
 Parquet and read again before the next. All but the last return the columns of their input.
 
-* ``language``: texts without a letter, and those no language of which has ``LEAST_SHARE``
-  of the words' probability, go.
-* ``near_duplicates``: of every group of documents with a Jaccard similarity of 0.8 or more over
-  five-word shingles, the one with the least id stays; of rows that share that id, one.
+* ``language``: texts without a letter go, and those whose words fit no language: the mean of every
+  word's greatest marginal is below ``LEAST_CONFIDENCE``. A text in several languages stays, and where
+  no language can be learned, all texts do.
+* ``near_duplicates``: of every group of documents linked by SimHash (fingerprints of three-word shingles
+  that differ in at most two bits) the one with the least id stays; of rows that share that id in a
+  group, the one with the least hash of all columns, once.
 * ``repeated_substrings``: every 50-byte string that a document with a smaller id has too is cut
   out; a character of which a part went goes as well.
 * ``benchmark_overlap``: the spans of benchmark phrases are cut out.
 * ``packing``: the rest is cut and packed into sequences of 2,048 tokens.
 
 Documents that lose text stay if a letter or digit is left. ``n_chars``, where there is such
-a column, follows the text. Of documents with a null id only exact repeats among
-themselves go, and nothing is cut from them for repeating others. Other columns pass
+a column, follows the text. A group whose documents all have null ids keeps one of them, and
+any id comes before a null one; nothing is cut from documents with a null id for repeating others. Other columns pass
 through whatever their names. Empty tables pass through.
 """
 
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 from roadcast.llm import decontaminate, language, packing, simhash, substring_dedup
 from roadcast.llm.common import fold, stored
 
-LEAST_SHARE = 0.5
+LEAST_CONFIDENCE = 0.5
+SHINGLE, MOST_BITS = 3, 2
 FOLDS, HELD_OUT = 4, 2  # crc32 of the id: the language model never sees this part's labels
 TOKENS, END_ID = 2048, 0
 ORACLE_SQL = None  # SQL has neither the models nor the tokenizer; tests/llm/test_pipeline.py tests each stage
@@ -57,24 +60,29 @@ def left_over(changed: Column, text: Column) -> Column:
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.fitted(docs.select("doc_id", "text", "lang").filter(fold("doc_id", FOLDS) != HELD_OUT))
+    if model is None:
+        return docs
     found = language.languages(wrapped(docs, "doc_id", "text"), model)
-    kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("lang_score") >= LEAST_SHARE))
+    kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("lang_confidence") >= LEAST_CONFIDENCE))
     return unwrapped(kept, docs, F.col("text"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Only the groups' least ids are joined back, so no group is gathered anywhere."""
-    content = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns]).alias("content")
-    rows = wrapped(docs, "doc_id", "text", content)
-    groups = stored(simhash.similar_documents(docs.filter("doc_id IS NOT NULL")), "near-groups")
-    least = groups.select(F.col("component_id").alias("doc_id")).distinct()
-    named = rows.join(least, "doc_id", "left_semi")
-    unnamed = rows.filter("doc_id IS NULL")
-    first = [
-        part.withColumn("nth", F.row_number().over(W.partitionBy(by).orderBy("content"))).filter("nth = 1")
-        for part, by in ((named, "doc_id"), (unnamed, "text"))
-    ]
-    return unwrapped(first[0].unionByName(first[1]), docs, F.col("text"))
+    """A row is known by two hashes of all its columns; the groups' chosen rows are joined back by them.
+
+    Only ids and hashes are grouped, so no group is gathered anywhere.
+    """
+    values = [x for c in docs.columns for x in (F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")), F.col(f"`{c}`").isNull())]
+    hashes = F.xxhash64(*values).alias("content"), F.hash(*values).alias("check")
+    rows = wrapped(docs, "doc_id", "text", *hashes)
+    linked = simhash.linked_documents(
+        rows.select("doc_id", "text", "content", "check"), shingle=SHINGLE, radius=MOST_BITS, keep=("content", "check")
+    )
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "content", "check")).alias("first")
+    chosen = linked.groupBy("component").agg(first).select("first.content", "first.check")
+    same = W.partitionBy("content", "check").orderBy("content")
+    once = rows.join(chosen, ["content", "check"]).withColumn("nth", F.row_number().over(same)).filter("nth = 1")
+    return unwrapped(once, docs, F.col("text"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
