@@ -82,11 +82,8 @@ def _rules(spec: DatasetSpec, column: str) -> list[tuple[str, Column]]:
     return rules
 
 
-def find_violations(raw: DataFrame, spec: DatasetSpec, keep: Sequence[str] = ("row_num",)) -> DataFrame:
-    """One row per broken rule: ``keep`` columns, ``col_ord, column_name, rule, value``.
-
-    ``invalid_utf8`` finds cells with bytes that are not UTF-8, which the CSV reader keeps.
-    """
+def _findings(spec: DatasetSpec) -> list[Column]:
+    """For each column of a parsed frame ``col_ord, column_name, rule, value`` of its first broken rule, or null."""
     broken = []
     for ordinal, column in enumerate(spec.columns):
         chain = None
@@ -99,7 +96,20 @@ def find_violations(raw: DataFrame, spec: DatasetSpec, keep: Sequence[str] = ("r
             )
             chain = F.when(failed, found) if chain is None else chain.when(failed, found)
         broken.append(chain)
-    found = F.explode(F.array_compact(F.array(*broken))).alias("v")
+    return broken
+
+
+def normalize_and_find(raw: DataFrame, spec: DatasetSpec, keep: Sequence[str] = ()) -> DataFrame:
+    """``normalize`` plus ``_found``: the first broken rule of the row as a struct, or null."""
+    return _parsed(raw, spec, keep).select(*keep, *_stored(spec), F.coalesce(*_findings(spec)).alias("_found"))
+
+
+def find_violations(raw: DataFrame, spec: DatasetSpec, keep: Sequence[str] = ("row_num",)) -> DataFrame:
+    """One row per broken rule: ``keep`` columns, ``col_ord, column_name, rule, value``.
+
+    ``invalid_utf8`` finds cells with bytes that are not UTF-8, which the CSV reader keeps.
+    """
+    found = F.explode(F.array_compact(F.array(*_findings(spec)))).alias("v")
     return _parsed(raw, spec, keep).select(*keep, found).select(*keep, "v.*")
 
 

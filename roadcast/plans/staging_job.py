@@ -6,20 +6,16 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from roadcast.functions.times import resolve_run_date
-from roadcast.operators.quality import (
-    find_violations,
-    first_violation,
-    normalize_and_flag,
-    violation_message,
-    with_lineage,
-)
-from roadcast.sources.csv_snapshots import POSITION, check_header, read_raw, with_row_numbers
+from roadcast.operators.quality import normalize_and_find, violation_message, with_lineage
+from roadcast.sources.csv_records import POSITION
+from roadcast.sources.csv_snapshots import check_header, counted_splits, read_raw, read_states
 from roadcast.sources.files import delete_folder, resolve_sources
-from roadcast.sources.sinks import point_table, row_count, write_run
+from roadcast.sources.releases import forget_run, install, latest, register_run, release
+from roadcast.sources.sinks import write_run
 from roadcast.specs import DATASETS, DatasetSpec
 
 
@@ -34,10 +30,10 @@ class LoadMetrics:
     rows_inserted: int
 
 
-def prepare(raw: DataFrame, spec: DatasetSpec, run_date: date, load_ts: datetime) -> DataFrame:
-    """Rows as they are stored, plus ``_broken``: whether any cell of the row breaks a rule."""
-    flagged = normalize_and_flag(raw, spec, keep=("_file",))
-    return with_lineage(flagged, run_date, F.col("_file"), load_ts).drop("_file")
+def prepare(raw: DataFrame, spec: DatasetSpec, run_date: date, load_ts: datetime, source: str) -> DataFrame:
+    """Rows as they are stored, plus the position columns and ``_found``: the row's first broken rule, or null."""
+    checked = normalize_and_find(raw, spec, keep=POSITION)
+    return with_lineage(checked, run_date, source, load_ts)
 
 
 def load_snapshots(
@@ -49,45 +45,52 @@ def load_snapshots(
     multi_line: bool = True,
     load_ts: datetime | None = None,
 ) -> list[LoadMetrics]:
-    """Full refresh of every table from the files of one day.
+    """Full refresh of every table from the files of one day; a dataset lands as a file or as a folder of files.
 
-    Order: all files exist, all headers fit, every dataset is written to a fresh
-    folder while its broken rows are counted in the same pass, and only when no
-    dataset has any are the tables pointed at the new folders; otherwise the folders of
-    this run are deleted. A crash between two
-    of those final switches leaves the tables on different days; a rerun repairs it.
+    Order: all files exist, all headers fit, every dataset is written to a fresh folder while
+    its earliest broken rule is found in the same pass, and only when no dataset has
+    any is the release written that makes the new folders the content of all tables at once.
+    Otherwise the folders of this run are deleted. A load that is killed leaves the tables as
+    they were before it.
     """
     specs = tuple(specs)
     day = resolve_run_date(run_date)
     stamp = load_ts or datetime.now(timezone.utc)
     paths = resolve_sources(spark, source_root, day, specs)
-    headers = {s.name: check_header(spark, paths[s.name], s, multi_line) for s in specs}
-    written, inserted = {}, {}
+    headers = {s.name: check_header(spark, paths[s.name], s) for s in specs}
+    base = latest(spark, warehouse)
+    install(spark, specs, warehouse)
+    written, runs, inserted = {}, {}, {}
     try:
         for spec in specs:
-            raw = read_raw(spark, paths[spec.name], spec, headers[spec.name], multi_line)
-            counts = Observation(f"load {spec.name}")
-            rows = prepare(raw, spec, day, stamp).observe(
-                counts, F.count(F.lit(1)).alias("rows"), F.count_if("_broken").alias("broken")
-            )
-            written[spec.name] = write_run(rows.drop("_broken"), warehouse, spec.table)
-            if counts.get["broken"]:
-                raise RowError(first_error(raw, spec))
-            inserted[spec.name] = counts.get["rows"]
+            path = paths[spec.name]
+            states = read_states(spark, path) if multi_line else None
+            raw = read_raw(spark, path, spec, headers[spec.name], multi_line, states)
+            seen = Observation(f"load {spec.name}")
+            rows = prepare(raw, spec, day, stamp, path).observe(seen, F.count(F.lit(1)).alias("rows"), earliest().alias("broken"))
+            written[spec.name] = write_run(rows.drop(*POSITION, "_found"), warehouse, spec.table)
+            if seen.get["broken"]:
+                raise RowError(first_error(seen.get["broken"], raw, spec, states))
+            inserted[spec.table] = seen.get["rows"]
+        for spec in specs:
+            runs[spec.table] = register_run(spark, spec, written[spec.name])
+        release(spark, warehouse, base, runs, inserted)
     except Exception:
-        for folder in written.values():
-            delete_folder(spark, folder)
+        for spec in specs:
+            if spec.name in written:
+                forget_run(spark, spec, written[spec.name])
+                delete_folder(spark, written[spec.name])
         raise
-    metrics = []
-    for spec in specs:
-        replaced = row_count(spark, spec.table)
-        point_table(spark, spec, written[spec.name])
-        metrics.append(LoadMetrics(spec.name, replaced, inserted[spec.name]))
-    return metrics
-
-
-def first_error(raw: DataFrame, spec: DatasetSpec) -> str:
-    """Message of the earliest broken rule. Reached only for a bad file, so row numbers cost nothing otherwise."""
-    found = first_violation(find_violations(raw, spec, keep=POSITION), ("_file", "_block", "_order"))
-    row = with_row_numbers(found, raw).first()
-    return violation_message(spec, row.row_num, row)
+    return [LoadMetrics(s.name, base["row_counts"].get(s.table, 0), inserted[s.table]) for s in specs]
+
+
+def earliest() -> Column:
+    """The first broken rule by file, split and record, as an aggregate that any order of rows may merge."""
+    return F.min(F.when(F.col("_found").isNotNull(), F.struct(*POSITION, "_found")))
+
+
+def first_error(broken: Row, raw: DataFrame, spec: DatasetSpec, states: DataFrame | None) -> str:
+    """Message of the earliest broken rule. The number of its row needs the records before its split only."""
+    place = (F.col("_file") == broken["_file"]) & (F.col("_block") == broken["_block"])
+    before = (states if states is not None else counted_splits(raw)).filter(place).first()["before"]
+    return violation_message(spec, before + broken["_order"] + 1, broken["_found"])

@@ -24,12 +24,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The file itself, or the files of a folder by name; hidden ones are left out."""
+    fs, target = _hadoop_path(spark, path)
+    found = [s for s in fs.listStatus(target) if s.isFile() and s.getPath().getName()[0] not in "_."]
+    return sorted(s.getPath().toString() for s in found)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder that the calling job has made itself."""
     fs, target = _hadoop_path(spark, path)
     fs.delete(target, True)
 
 
+def delete_file(spark: SparkSession, path: str) -> None:
+    """Remove a file that the calling job has made itself, if it is there."""
+    fs, target = _hadoop_path(spark, path)
+    fs.delete(target, False)
+
+
 def first_bytes(spark: SparkSession, path: str, count: int = 3) -> bytes:
     fs, target = _hadoop_path(spark, path)
     stream = fs.open(target)

@@ -2,27 +2,23 @@
 
 from __future__ import annotations
 
+import shutil
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadcast.operators.observations import batch_json
+from roadcast.sources.files import _hadoop_path, delete_file, delete_folder
+from roadcast.sources.releases import install
 from roadcast.specs import DatasetSpec
 
 
-def create_tables(spark: SparkSession, specs: Iterable[DatasetSpec]) -> None:
-    """Create schema and tables where absent; errors are raised, not logged away."""
-    for spec in specs:
-        schema = spec.table.rpartition(".")[0]
-        if schema:
-            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-        spark.sql(spec.create_table_sql())
-
-
-def row_count(spark: SparkSession, table: str) -> int:
-    return spark.table(table).count() if spark.catalog.tableExists(table) else 0
+def create_tables(spark: SparkSession, specs: Iterable[DatasetSpec], warehouse: str | None = None) -> None:
+    """Create schema and tables, empty before the first load, where absent; errors are raised, not logged away."""
+    install(spark, specs, warehouse or spark.conf.get("spark.sql.warehouse.dir"))
 
 
 def write_run(df: DataFrame, root: str, table: str) -> str:
@@ -32,18 +28,6 @@ def write_run(df: DataFrame, root: str, table: str) -> str:
     return target
 
 
-def point_table(spark: SparkSession, spec: DatasetSpec, location: str) -> None:
-    """Make a written run the content of its table, replacing the previous run."""
-    if spark.catalog.tableExists(spec.table):
-        spark.sql(f"ALTER TABLE {spec.table} SET LOCATION '{location}'")
-    else:
-        schema = spec.table.rpartition(".")[0]
-        if schema:
-            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-        spark.sql(spec.create_table_sql() + f" LOCATION '{location}'")
-    spark.catalog.refreshTable(spec.table)
-
-
 def jdbc_options(batch_size: int | str = 2000) -> dict[str, str]:
     """Options of a full-refresh database load: truncate, then insert in batches."""
     try:
@@ -82,10 +66,54 @@ def mapping_document(mapping: DataFrame) -> DataFrame:
     return body.unionByName(bracket(0, "[")).unionByName(bracket(2, "]"))
 
 
+PARTS = "part string, target string, at long, size long"
+
+
+def _copied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Write each part into its place of the target. A repeated task writes the same bytes to the same place."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            with open(row["part"], "rb") as source, open(row["target"], "r+b") as target:
+                target.seek(row["at"])
+                shutil.copyfileobj(source, target, 1 << 20)
+        yield batch
+
+
+def join_parts(spark: SparkSession, folder: str, target: str) -> None:
+    """Put the part files of a folder together as one file, in order of their names, and remove the folder.
+
+    No byte passes the driver: a file system that can concatenate does so (only names move), and in a
+    shared folder every part has its offset, the sum of the sizes before it, and is copied there by a task.
+    """
+    fs, final = _hadoop_path(spark, target)
+    partial = _hadoop_path(spark, f"{target}-{uuid.uuid4().hex}")[1]
+    status = {s.getPath().getName(): s for s in fs.listStatus(_hadoop_path(spark, folder)[1])}
+    parts = [status[name] for name in sorted(status) if name.startswith("part-") and status[name].getLen()]
+    fs.create(partial, False).close()
+    if fs.getUri().getScheme() == "file":
+        rows, at = [], 0
+        for part in parts:
+            rows.append((part.getPath().toUri().getPath(), partial.toUri().getPath(), at, part.getLen()))
+            at += part.getLen()
+        tasks = spark.createDataFrame(rows, PARTS).repartition(max(1, len(rows)), "part")
+        tasks.mapInArrow(_copied, PARTS).write.format("noop").mode("overwrite").save()
+        delete_file(spark, partial.getParent().toString() + f"/.{partial.getName()}.crc")  # of the empty file
+    elif parts:
+        paths = spark._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(parts))
+        for i, part in enumerate(parts):
+            paths[i] = part.getPath()
+        fs.concat(partial, paths)
+    if fs.exists(final):
+        fs.delete(final, True)
+    fs.rename(partial, final)
+    delete_folder(spark, folder)
+
+
 def write_mapping_document(mapping: DataFrame, path: str) -> None:
-    """One file holding one JSON array. The single writer streams sorted rows and holds none back."""
-    lines = mapping_document(mapping).coalesce(1).sortWithinPartitions("section", "beat")
-    lines.select("value").write.mode("overwrite").text(path)
+    """One file holding one JSON array: sorted parts are written by many tasks and then joined."""
+    folder = f"{path}-parts-{uuid.uuid4().hex}"
+    mapping_document(mapping).orderBy("section", "beat").select("value").write.text(folder)
+    join_parts(mapping.sparkSession, folder, path)
 
 
 def write_batches(batches: DataFrame, prefix: str, by_capture: bool = True) -> None:

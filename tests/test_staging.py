@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadcast.operators.quality import find_violations, first_violation, header_report
+from roadcast.plans import staging_job
 from roadcast.plans.staging_job import RowError, load_snapshots
 from roadcast.sources import csv_snapshots as csvs
+from roadcast.sources import releases
 from roadcast.sources.files import SourceMissing, list_files, path_exists
 from roadcast.sources.sinks import create_tables, jdbc_options
 from roadcast.specs import BASIC, DETAILS, DatasetSpec
@@ -177,9 +179,10 @@ def test_row_numbers_across_splits_and_files(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
     try:
-        raw = csvs.read_raw(spark, str(tmp_path), spec, ["k", "v"], multi_line=False)
+        states = csvs.read_states(spark, str(tmp_path))
+        raw = csvs.read_raw(spark, str(tmp_path), spec, ["k", "v"], states=states)
         assert raw.rdd.getNumPartitions() > 3
-        numbered = csvs.with_row_numbers(raw, raw)
+        numbered = csvs.with_row_numbers(raw, states)
         assert numbered.count() == 3010
         assert numbered.filter(F.col("row_num") != F.col("k").cast("long") + 2).count() == 0
     finally:
@@ -228,3 +231,79 @@ def test_replacement_characters_and_other_letters_are_legal_text(spark, tmp_path
     load(spark, tmp_path, specs)
     found = {r.report_id: r.charge_desc for r in spark.table(specs[0].table).collect()}
     assert sorted(found.values()) == ["Straße 日本", "was \ufffd here"]
+
+
+class Killed(BaseException):
+    """Ends a load as a lost driver would: nothing is cleaned up."""
+
+
+STEPS = [("write_run", 2, "after"), ("register_run", 1, "after"), ("register_run", 2, "after")]
+STEPS += [("release", 1, "before_rename"), ("release", 1, "after"), ("install", 1, "after")]
+
+
+@pytest.mark.parametrize("step, nth, when", STEPS)
+def test_killed_load_leaves_all_tables_on_one_day(spark, tmp_path, specs, monkeypatch, step, nth, when):
+    for i, day in enumerate(("2026-02-18", DAY)):
+        write_csv(str(tmp_path / "in" / day), BASIC, [basic_row(k) for k in range(i + 1)])
+        write_csv(str(tmp_path / "in" / day), DETAILS, [details_row(k) for k in range(i + 1)])
+    run = lambda day: load_snapshots(spark, str(tmp_path / "in"), str(tmp_path / "wh"), day, specs, load_ts=STAMP)
+    run("2026-02-18")
+    original, calls = getattr(staging_job, step), []
+
+    def failing(*args, **kwargs):
+        calls.append(1)
+        if len(calls) == nth and when == "before":
+            raise Killed
+        if when == "before_rename":
+            monkeypatch.setattr(releases, "_hadoop_path", lambda s, p: (_ for _ in ()).throw(Killed) if "release-" in p else files_path(s, p))
+        result = original(*args, **kwargs)
+        if len(calls) == nth:
+            raise Killed
+        return result
+
+    files_path = releases._hadoop_path
+    monkeypatch.setattr(staging_job, step, failing)
+    with pytest.raises(Killed):
+        run(DAY)
+    monkeypatch.undo()
+    days = [{r.snapshot_dt.isoformat() for r in spark.table(s.table).collect()} for s in specs]
+    expected = DAY if (step, when) == ("release", "after") else "2026-02-18"
+    assert days == [{expected}, {expected}]
+    assert [m.rows_replaced for m in run(DAY)] == ([2, 2] if expected == DAY else [1, 1])
+    assert {r.snapshot_dt.isoformat() for s in specs for r in spark.table(s.table).collect()} == {DAY}
+
+
+def test_of_two_loads_at_once_one_fails(spark, tmp_path, specs, monkeypatch):
+    write_csv(folder(tmp_path), BASIC, [basic_row(1)])
+    write_csv(folder(tmp_path), DETAILS, [details_row(1)])
+    load(spark, tmp_path, specs)
+    stale = releases.latest(spark, str(tmp_path / "wh"))
+    load(spark, tmp_path, specs)
+    monkeypatch.setattr(staging_job, "latest", lambda *_: stale)
+    with pytest.raises(releases.ReleaseConflict):
+        load(spark, tmp_path, specs)
+    assert spark.table(specs[0].table).count() == 1
+    assert len([p for p in tmp_path.rglob("run-*")]) == 4  # two releases of two tables
+
+
+def test_bad_file_is_read_once_more_for_nothing(spark, tmp_path, specs, monkeypatch):
+    """The first broken row comes from the load's own pass, whichever file, split and task it is in."""
+    target = tmp_path / "in" / DAY / BASIC.file_name
+    for name, bad in (("b.csv", 3), ("a.csv", 40)):
+        rows = [basic_row(i, charge_desc="two\nlines") for i in range(50)]
+        rows[bad]["injured"] = f"x{name[0]}"
+        rows[bad + 1]["report_id"] = ""
+        os.makedirs(target, exist_ok=True)
+        os.rename(write_csv(str(tmp_path / "made"), BASIC, rows), target / name)
+    write_csv(folder(tmp_path), DETAILS, [details_row(1)])
+    monkeypatch.setattr(staging_job, "counted_splits", None)
+    with pytest.raises(RowError, match="row 42, column injured: not a valid integer: 'xa'"):
+        load(spark, tmp_path, specs)
+
+
+def test_tables_of_their_own_are_not_replaced(spark, tmp_path, specs):
+    schema = specs[0].table.split(".")[0]
+    spark.sql(f"CREATE SCHEMA {schema}")
+    spark.sql(specs[0].create_table_sql())
+    with pytest.raises(RuntimeError, match="table of its own"):
+        create_tables(spark, specs)
