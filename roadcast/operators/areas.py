@@ -41,74 +41,78 @@ def _kind_is(column: str, prefix: str) -> Column:
     return F.coalesce(F.schema_of_variant(column).startswith(prefix), F.lit(False))
 
 
-def _has(column: str, key: str) -> Column:
-    """Key present, null or not."""
-    return F.try_variant_get(column, f"$.{key}", "variant").isNotNull()
+def shredded(features: DataFrame) -> DataFrame:
+    """Every feature taken apart once: its typed values, and the first rule it breaks or null.
 
-
-def _is_null(column: str, key: str) -> Column:
-    return F.coalesce(F.is_variant_null(F.try_variant_get(column, f"$.{key}", "variant")), F.lit(True))
-
-
-def missing_keys(column: str = "properties") -> Column:
-    return F.array_compact(F.array(*[F.when(~_has(column, k), F.lit(k)) for k in FEATURE_KEYS]))
-
-
-def feature_rule(properties: str = "properties", geometry: str = "geometry") -> Column:
-    """Name of the first rule a feature breaks, or null."""
-    kind = F.try_variant_get(geometry, "$.type", "string")
+    Columns: what is carried along, ``rule, missing_keys`` (an array), the integers, ``name``,
+    ``geometry_type`` and ``parts`` (parts > rings > points > (x, y); a Polygon is one part; null if malformed).
+    """
+    carried = [c for c in features.columns if c not in ("properties", "geometry")]
+    fields = ", ".join(f"{key} variant" for key in (*FEATURE_KEYS, "name"))
+    opened = features.select(
+        *carried,
+        F.try_variant_get("properties", "$", f"struct<{fields}>").alias("_p"),
+        F.try_variant_get("geometry", "$", "struct<type variant, coordinates variant>").alias("_g"),
+    )
+    value = lambda key: F.col(f"_p.{key}")
+    polygon, multi = "array<array<array<double>>>", "array<array<array<array<double>>>>"
+    shape = lambda kind: F.try_variant_get("_g.coordinates", "$", kind)
+    typed = opened.select(
+        *carried,
+        "_p",
+        "_g",
+        F.array_compact(F.array(*[F.when(value(k).isNull(), F.lit(k)) for k in FEATURE_KEYS])).alias("missing_keys"),
+        *[F.try_variant_get(value(k), "$", "bigint").alias(k) for k in FEATURE_KEYS],
+        F.try_variant_get(value("name"), "$", "string").alias("name"),
+        F.try_variant_get("_g.type", "$", "string").alias("geometry_type"),
+    )
+    kind = F.col("geometry_type")
+    drawn = typed.select("*", F.when(kind == "Polygon", F.array(shape(polygon))).when(kind == "MultiPolygon", shape(multi)).alias("_drawn"))
+    checked = drawn.select("*", F.when(_well_formed(F.col("_drawn")), F.col("_drawn")).alias("parts"))
     bad_number = F.lit(False)
     for key in FEATURE_KEYS:
-        number = F.try_variant_get(properties, f"$.{key}", "bigint")
-        nullable = key in ("div", "serv")
-        bad_number = bad_number | (number.isNull() & (~_is_null(properties, key) if nullable else F.lit(True)))
-    return (
-        F.when(
-            ~_kind_is(properties, "OBJECT<") | ~_kind_is(geometry, "OBJECT<"),
-            "missing_properties_or_geometry",
-        )
-        .when(F.size(missing_keys(properties)) > 0, "missing_required_properties")
+        given = F.lit(True) if key not in ("div", "serv") else ~F.coalesce(F.is_variant_null(value(key)), F.lit(True))
+        bad_number = bad_number | (F.col(key).isNull() & given)
+    rule = (
+        F.when(F.col("_p").isNull() | F.col("_g").isNull(), "missing_properties_or_geometry")
+        .when(F.size("missing_keys") > 0, "missing_required_properties")
         .when(~F.coalesce(kind.isin(*AREA_GEOMETRIES), F.lit(False)), "unsupported_geometry_type")
-        .when(~_has(geometry, "coordinates"), "missing_coordinates")
+        .when(F.col("_g.coordinates").isNull(), "missing_coordinates")
         .when(bad_number, "not_an_integer")
-        .when(area_parts(geometry).isNull(), "malformed_coordinates")
+        .when(F.col("parts").isNull(), "malformed_coordinates")
     )
+    return checked.select(*carried, rule.alias("rule"), "missing_keys", *FEATURE_KEYS, "name", "geometry_type", "parts")
 
 
-def area_parts(geometry: str = "geometry") -> Column:
-    """Coordinates as parts > rings > points > (x, y); a Polygon is one part. Null if malformed."""
-    polygon, multi = "array<array<array<double>>>", "array<array<array<array<double>>>>"
-    kind = F.try_variant_get(geometry, "$.type", "string")
-    parts = F.when(kind == "Polygon", F.array(F.try_variant_get(geometry, "$.coordinates", polygon))).when(
-        kind == "MultiPolygon", F.try_variant_get(geometry, "$.coordinates", multi)
-    )
+def _well_formed(parts: Column) -> Column:
     point_ok = lambda pt: pt.isNotNull() & (F.size(pt) >= 2) & F.get(pt, F.lit(0)).isNotNull() & F.get(pt, F.lit(1)).isNotNull()
     ring_ok = lambda r: r.isNotNull() & (F.size(r) >= 3) & F.forall(r, point_ok)
     part_ok = lambda p: p.isNotNull() & (F.size(p) >= 1) & F.forall(p, ring_ok)
-    return F.when(parts.isNotNull() & (F.size(parts) >= 1) & F.forall(parts, part_ok), parts)
+    return parts.isNotNull() & (F.size(parts) >= 1) & F.forall(parts, part_ok)
+
+
+_TAKEN_OUT = ("rule", "missing_keys", *FEATURE_KEYS, "name", "geometry_type", "parts")
+
+
+def violations(taken: DataFrame) -> DataFrame:
+    """The features of ``shredded`` that break a rule."""
+    carried = [c for c in taken.columns if c not in _TAKEN_OUT]
+    return taken.filter(F.col("rule").isNotNull()).select(
+        *carried, "rule", F.array_join("missing_keys", ",").alias("missing_keys"), "geometry_type"
+    )
+
+
+def accepted(taken: DataFrame) -> DataFrame:
+    """The features of ``shredded`` that break none: integers, nullable ``div`` and ``serv``, optional ``name``, parts."""
+    return taken.filter(F.col("rule").isNull()).drop("rule", "missing_keys")
 
 
 def feature_violations(features: DataFrame) -> DataFrame:
-    carried = [c for c in features.columns if c not in ("properties", "geometry")]
-    return features.select(
-        *carried,
-        feature_rule().alias("rule"),
-        F.array_join(missing_keys(), ",").alias("missing_keys"),
-        F.try_variant_get("geometry", "$.type", "string").alias("geometry_type"),
-    ).filter(F.col("rule").isNotNull())
+    return violations(shredded(features))
 
 
 def typed_features(features: DataFrame) -> DataFrame:
-    """Accepted features: integers, nullable ``div`` and ``serv``, optional ``name``, parts."""
-    number = lambda key: F.try_variant_get("properties", f"$.{key}", "bigint").alias(key)
-    carried = [c for c in features.columns if c not in ("properties", "geometry")]
-    return features.filter(feature_rule().isNull()).select(
-        *carried,
-        *[number(k) for k in FEATURE_KEYS],
-        F.try_variant_get("properties", "$.name", "string").alias("name"),
-        F.try_variant_get("geometry", "$.type", "string").alias("geometry_type"),
-        area_parts().alias("parts"),
-    )
+    return accepted(shredded(features))
 
 
 def consolidate(features: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from roadcast.operators.mapping import mapping_rows, mapping_rules, unlocated
 from roadcast.operators.nearest import nearest_station, station_violations
 from roadcast.operators.overlay import open_vertices, union_outline
 from roadcast.session import checkpointed
-from roadcast.sources.documents import default_stations, read_collections, read_feature_lines
+from roadcast.sources.documents import default_stations, read_feature_lines
+from roadcast.sources.geojson_ranges import read_documents
 from roadcast.sources.sinks import write_mapping_document, write_mapping_rows
 
 
@@ -73,7 +74,8 @@ def map_areas(
 ) -> DataFrame:
     """Read feature collections, map every area, check the result, then write it.
 
-    ``lines`` reads newline-delimited features instead, for inputs no single document holds.
+    A document is read by many tasks, and its features are taken apart once. ``lines`` reads
+    newline-delimited features instead.
 
     The result is one JSON array, or without ``document`` JSON lines, written in parallel.
     """
@@ -82,11 +84,12 @@ def map_areas(
     if lines:
         features, identity = read_feature_lines(spark, geojson_path), ["feature_index"]
     else:
-        collections = read_collections(spark, geojson_path)
-        reject(areas.collection_violations(collections).select("source", "rule"), "input container")
-        features, identity = areas.explode_features(collections), ["source", "feature_index"]
-    reject(areas.feature_violations(features), "feature", *identity)
-    mapping = build_mapping(areas.typed_features(features), stations, strict, identity)
+        containers, features = read_documents(spark, geojson_path)
+        reject(areas.collection_violations(containers).select("source", "rule"), "input container")
+        identity = ["source", "feature_index"]
+    taken = checkpointed(areas.shredded(features))
+    reject(areas.violations(taken), "feature", *identity)
+    mapping = build_mapping(areas.accepted(taken), stations, strict, identity)
     reject(mapping_rules(mapping).filter(F.col("rule").isNotNull()), "mapping")
     (write_mapping_document if document else write_mapping_rows)(mapping, output_path)
     return mapping

@@ -302,7 +302,15 @@ SELECT n_details, CAST(l_orderkey AS VARCHAR), CAST(o_orderdate AS TIMESTAMP), C
   nullif(CAST(l_quantity AS INTEGER) % 5, 0), DATE '2024-02-01', 'pd_collisions_details_datasd.csv', TIMESTAMP '2024-02-01 06:00:00'
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey, counts""",
     "csv_scan": f"WITH {RAW} SELECT report_id, date_time, police_beat, injured, note FROM typed",
-    "row_numbers": "SELECT event_id, row_number() OVER (ORDER BY event_id) + 1 AS row_num FROM events",
+    "load_job_refusals": """WITH n AS (SELECT count(*) AS n FROM orders)
+SELECT 'good' AS load, '' AS message, n AS rows_in_table FROM n
+UNION ALL SELECT 'header', 'dataset staging_collisions_basic: missing columns [''killed'']', n FROM n
+UNION ALL SELECT 'row', 'dataset staging_collisions_basic, row ' ||
+  (SELECT count(*) + 1 FROM orders WHERE o_orderkey <= (SELECT min(o_orderkey) FROM orders WHERE o_orderkey % 50 = 33)) ||
+  ', column police_beat: not a valid integer: ' || chr(39) || 'x' || chr(39), n FROM n
+UNION ALL SELECT 'file', 'source files not found: staging_collisions_basic: /landing/2024-02-04/pd_collisions_datasd.csv', n FROM n""",
+    "row_numbers": """SELECT event_id, length('"' || event_type || '", ' || CASE WHEN event_id % 3 = 0 THEN chr(10) || chr(10) || ',' ELSE '' END || props) AS note_length,
+  row_number() OVER (PARTITION BY event_id // 2000 ORDER BY event_id) + 1 AS row_num FROM events""",
     "header_check": """SELECT event_id,
   CASE event_id % 6 WHEN 1 THEN 'missing' WHEN 2 THEN 'duplicates' WHEN 3 THEN 'unexpected' WHEN 4 THEN 'empty' WHEN 5 THEN 'missing' END AS problem,
   CASE WHEN event_id % 6 = 2 THEN 'report_id' ELSE '' END AS duplicates,
@@ -366,6 +374,8 @@ SELECT '2024-02-01T06:30:00+00:00' AS captured_at_utc, string_agg(station_id, ',
   div_conflict, serv_conflict, name_conflict, source_objectids FROM one""",
     "beat_source_ids": f"WITH {NAMED} SELECT beat, objectid FROM named",
     "beat_conflicts": f"WITH {NAMED} SELECT beat, field, chosen FROM clashes",
+    "mapping_job_refusal": f"""WITH {NAMED} SELECT replace('conflicting values: {{~beat~: ' || beat || ', ~field~: ~' || field || '~, ~chosen~: ~' ||
+  chosen || '~}}', '~', chr(39)) AS message FROM clashes ORDER BY beat, field LIMIT 1""",
     "beat_conflict_values": f"""WITH {NAMED},
 spread AS (
   SELECT beat, 'div' AS field, CAST(div AS VARCHAR) AS value FROM named
@@ -409,6 +419,8 @@ pairs_ AS (SELECT p.*, s.* FROM points p, sites s
     "area_mapping": f"WITH {MAPPING} SELECT {MAPPING_FIELDS} FROM mapping",
     "mapping_scan": f"""WITH {MAPPING} SELECT objectid, beat, name, representative_lat, representative_lon, station_id FROM mapping""",
     "mapping_job": f"""WITH {MAPPING} SELECT objectid, beat, name, representative_lat, representative_lon, station_id FROM mapping""",
+    "document_features": """SELECT s_suppkey - (SELECT min(s_suppkey) FROM supplier) AS feature_index, s_suppkey * 10 + 7 AS objectid,
+  s_suppkey // 2 AS beat, 'Polygon' AS geometry_type, 'FeatureCollection' AS container_type FROM supplier""",
     "area_mapping_rules": f"""WITH {MAPPING} SELECT count(*) AS n_rows, count(beat) - count(DISTINCT beat) AS n_duplicates,
   CAST(CASE WHEN count(*) = 0 THEN 'empty_mapping' END AS VARCHAR) AS rule FROM mapping""",
     "area_mapping_summary": f"""WITH {MAPPING} SELECT count(*) AS total_beats, count(beat) - count(DISTINCT beat) AS duplicate_beats,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,14 +21,15 @@ from roadcast.operators.nearest import nearest_station, station_violations
 from roadcast.operators.overlay import open_vertices, union_outline
 from roadcast.operators.joins import beat_weather, details_with_report
 from roadcast.plans.capture_job import capture
-from roadcast.plans.mapping_job import build_mapping, map_areas
-from roadcast.plans.staging_job import load_snapshots
+from roadcast.plans.mapping_job import RuleError, build_mapping, map_areas
+from roadcast.plans.staging_job import RowError, load_snapshots
 from roadcast.session import checkpointed, scratch_root
-from roadcast.sources.csv_snapshots import read_raw, with_row_numbers
+from roadcast.sources.csv_snapshots import HeaderError, read_raw, read_states, with_row_numbers
 from roadcast.sources.documents import default_stations, read_batches, read_feature_lines, read_mapping, read_responses
-from roadcast.sources.files import _hadoop_path, dated_source, list_files
-from roadcast.sources.sinks import mapping_document, write_batches, write_mapping_document
-from roadcast.specs import BASIC, BATCH_PREFIX, DETAIL_NULL_COLUMNS, DETAILS
+from roadcast.sources.files import SourceMissing, dated_source
+from roadcast.sources.geojson_ranges import read_documents
+from roadcast.sources.sinks import join_parts, mapping_document, write_batches, write_mapping_document
+from roadcast.specs import BASIC, BATCH_PREFIX, DETAIL_NULL_COLUMNS, DETAILS, DatasetSpec
 from roadcast.streaming.batches import drain, stream_batches
 from workload import bindings as b
 
@@ -194,23 +195,23 @@ def _fresh(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _one_file(rows: DataFrame, target: str, write) -> None:
-    """Write ``rows`` as a single file called ``target``, the form in which sources land."""
-    folder = f"{target}-parts"
-    write(rows.coalesce(1).write, folder)
-    fs, _ = _hadoop_path(rows.sparkSession, target)
-    part = list_files(rows.sparkSession, folder, "part-*").first()["path"]
-    fs.rename(_hadoop_path(rows.sparkSession, part)[1], _hadoop_path(rows.sparkSession, target)[1])
+def _own_tables(*specs) -> list:
+    """The datasets with tables of this call, so that queries do not meet."""
+    return [replace(spec, table=f"{spec.table.rpartition('.')[2]}_{uuid.uuid4().hex}") for spec in specs]
+
+
+def _land(rows: DataFrame, target: str) -> None:
+    """Land ``rows`` as a folder of CSV files, written by as many tasks as there are."""
+    rows.write.option("header", True).csv(target, escape='"')
 
 
 @register
 def load_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The load job over orders and line items landed as one day's CSV files: the rows of both tables."""
     root = _fresh(spark, "load-job")
-    specs = [replace(spec, table=f"{spec.table.rpartition('.')[2]}_{uuid.uuid4().hex}") for spec in (BASIC, DETAILS)]
+    specs = _own_tables(BASIC, DETAILS)
     for spec, name in zip(specs, ("basic", "details"), strict=True):
-        target = dated_source(f"{root}/landing", RUN_DATE, spec)
-        _one_file(b.landed(spark, sf_dir, name), target, lambda w, folder: w.option("header", True).csv(folder, escape='"'))
+        _land(b.landed(spark, sf_dir, name), dated_source(f"{root}/landing", RUN_DATE, spec))
     loaded = load_snapshots(spark, f"{root}/landing", f"{root}/warehouse", RUN_DATE, specs, load_ts=LOAD_TS)
     columns = ("report_id", "date_time", "police_beat", "injured", "snapshot_dt", "source_file", "load_ts")
     tables = [
@@ -220,6 +221,29 @@ def load_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables[0].unionByName(tables[1])
 
 
+@register
+def load_job_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why loads of later days are refused, and the rows that the table still has after each."""
+    root = _fresh(spark, "load-refusals")
+    (spec,) = _own_tables(BASIC)
+    rows = b.landed(spark, sf_dir, "basic")
+    key = F.col("report_id").cast("bigint")
+    broken = rows.withColumn("police_beat", F.when(key % 50 == 33, "x").otherwise(F.col("police_beat"))).orderBy(key)
+    days = [RUN_DATE + timedelta(days=n) for n in range(4)]
+    landed = (rows, rows.withColumnRenamed("killed", "dead"), broken)
+    for day, made in zip(days, landed, strict=False):
+        _land(made, dated_source(f"{root}/landing", day, spec))
+    found = []
+    for case, day in zip(("good", "header", "row", "file"), days, strict=True):
+        try:
+            load_snapshots(spark, f"{root}/landing", f"{root}/warehouse", day, [spec], load_ts=LOAD_TS)
+            message = ""
+        except (HeaderError, RowError, SourceMissing) as refusal:
+            message = str(refusal).replace(root, "")
+        found.append((case, message, spark.table(spec.table).count()))
+    return spark.createDataFrame(found, "load string, message string, rows_in_table long")
+
+
 @register
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows written as CSV files in another column order, then read and typed by header name."""
@@ -228,19 +252,26 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     b.raw_events(spark, sf_dir).select(*order).write.option("header", True).csv(
         target, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
-    raw = read_raw(spark, target, b.EVENT_ROWS, names=order, multi_line=False)
-    return quality.normalize(raw, b.EVENT_ROWS)
+    return quality.normalize(read_raw(spark, target, b.EVENT_ROWS), b.EVENT_ROWS)
+
+
+ROWS_A_FILE = 2000
 
 
 @register
 def row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = b.table(spark, sf_dir, "events").select(
-        "event_id",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_order"),
+    """Numbers of records in CSV files whose cells hold quotes, commas and line breaks."""
+    target = _fresh(spark, "numbered")
+    note = F.concat(F.lit('"'), "event_type", F.lit('", '), F.when(F.col("event_id") % 3 == 0, "\n\n,").otherwise(""), "props")
+    rows = b.table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"), note.alias("note"), F.floor(F.col("event_id") / ROWS_A_FILE).alias("file")
     )
-    return with_row_numbers(raw, raw).select("event_id", "row_num")
+    dealt = rows.repartition("file").sortWithinPartitions("file", F.col("event_id").cast("bigint"))
+    dealt.write.partitionBy("file").option("header", True).csv(target, escape='"')
+    spec = DatasetSpec("numbered", "numbered", "numbered.csv", ("event_id", "note"), frozenset())
+    states = read_states(spark, target)
+    numbered = with_row_numbers(read_raw(spark, target, spec, list(spec.columns), states=states), states)
+    return numbered.select(F.col("event_id").cast("bigint").alias("event_id"), F.length("note").cast("bigint").alias("note_length"), "row_num")
 
 
 @register
@@ -555,16 +586,44 @@ def mapping_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_mapping(spark, target)
 
 
+def _one_document(parts: DataFrame, target: str) -> None:
+    """Write text parts in parallel and put their files together as one: ``value`` in order of ``section, s_suppkey``."""
+    folder = f"{target}-parts"
+    parts.orderBy("section", "s_suppkey").select("value").write.text(folder)
+    join_parts(parts.sparkSession, folder, target)
+
+
 @register
 def mapping_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mapping job over a GeoJSON file; the fields that the capture reads, from the document it wrote."""
     folder = _fresh(spark, "mapping-job")
-    lines = b.pair_document(spark, sf_dir).coalesce(1).sortWithinPartitions("section", "s_suppkey").select("value")
-    _one_file(lines, f"{folder}/areas.geojson", lambda w, target: w.text(target))
+    _one_document(b.pair_document(spark, sf_dir), f"{folder}/areas.geojson")
     map_areas(spark, f"{folder}/areas.geojson", f"{folder}/mapping")
     return read_mapping(spark, f"{folder}/mapping")
 
 
+@register
+def document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of one GeoJSON document with their position in its list, read by ranges."""
+    folder = _fresh(spark, "document")
+    _one_document(b.pair_document(spark, sf_dir), f"{folder}/areas.geojson")
+    containers, features = read_documents(spark, f"{folder}/areas.geojson")
+    typed = areas.typed_features(features).select("source", "feature_index", "objectid", "beat", "geometry_type")
+    return typed.join(containers.select("source", F.col("type").alias("container_type")), "source").drop("source")
+
+
+@register
+def mapping_job_refusal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A strict mapping is refused for the first area whose features disagree; otherwise it takes the value whose text sorts first."""
+    typed = _nation_typed(spark, sf_dir)
+    try:
+        build_mapping(typed, default_stations(spark), strict=True)
+        message = ""
+    except RuleError as refusal:
+        message = str(refusal)
+    return spark.createDataFrame([(message,)], "message string")
+
+
 @register
 def area_mapping_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping_rules(_pair_mapping(spark, sf_dir))
