@@ -1,8 +1,10 @@
 """Toxicity by a logistic model that is regularised against counterfactual texts.
 
-Sentences that mention a group are copied with the group's name swapped for another of its
-kind. Beside the likelihood of the labels, training penalises the squared difference of
-the two scores, so that a name alone does not make a neutral sentence toxic.
+Every labelled text has a counterfactual. One that mentions a group is copied with all names
+swapped for others of their kind; into any other a mention is put, of one group in the text and of another
+in its copy, all pairs of names of a kind taking turns. Beside the likelihood of the labels, training
+penalises the squared difference of the two scores, so that a name alone does not make a
+neutral sentence toxic. Names are a parameter; by default they are in four languages.
 
 Features are the distinct words of the whole text, chosen on a sample of about
 ``SAMPLE_ROWS`` labelled documents; identity terms are always among them.
@@ -28,7 +30,7 @@ from roadcast.llm.common import regrouped, spread
 
 SAMPLE_ROWS = 20_000
 ROUNDS, RATE, RIDGE, FAIRNESS, LEAST_Z = 400, 0.5, 1e-4, 1.0, 4.0
-#: Terms that a counterfactual may exchange within a group.
+# Names of groups by kind, in English, German, French and Spanish. A counterfactual exchanges them within a kind.
 IDENTITY_GROUPS = (
     ("women", "men"),
     ("woman", "man"),
@@ -39,6 +41,18 @@ IDENTITY_GROUPS = (
     ("immigrant", "native"),
     ("disabled", "abled"),
     ("french", "german", "spanish", "english"),
+    ("frauen", "männer"),
+    ("schwule", "lesben", "heterosexuelle"),
+    ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten"),
+    ("ausländer", "einheimische", "flüchtlinge"),
+    ("femmes", "hommes"),
+    ("homosexuels", "lesbiennes", "hétérosexuels"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("immigrés", "étrangers", "réfugiés"),
+    ("mujeres", "hombres"),
+    ("homosexuales", "lesbianas", "heterosexuales"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("inmigrantes", "extranjeros", "refugiados"),
 )
 
 
@@ -61,6 +75,21 @@ class Swap:
         return self.pattern.sub(other, text)
 
 
+def counterfactuals(rows: list[tuple], groups: tuple[tuple[str, ...], ...]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Features of all texts and of their counterfactuals, without what a mention put in leaves equal on both sides.
+
+    Texts with a mention of their own come first.
+    """
+    left = [own for own, _, twin in rows if twin is not None]
+    right = [twin for _, _, twin in rows if twin is not None]
+    pairs = [[np.array([hashed.hash_of(t)]) for t in (g[i], g[(i + 1) % len(g)])] for g in groups for i in range(len(g))]
+    for nth in range((len(rows) - len(left)) if pairs else 0):
+        one, other = pairs[nth % len(pairs)]
+        left.append(one)
+        right.append(other)
+    return left, right
+
+
 def fit(rows: list[tuple], groups: tuple[tuple[str, ...], ...]) -> tuple[np.ndarray, np.ndarray, float]:
     """``(chosen features, weights, intercept)`` from ``(features, label, twin's features)`` rows."""
     empty = np.empty(0, np.int64), np.empty(0), -np.inf
@@ -71,9 +100,11 @@ def fit(rows: list[tuple], groups: tuple[tuple[str, ...], ...]) -> tuple[np.ndar
     always = tuple(hashed.hash_of(t) for g in groups for t in g)
     chosen = hashed.chosen_features([(f, y) for (f, _, _), y in zip(rows, labels, strict=True)], LEAST_Z, always)
     row, column = hashed.design([f for f, _, _ in rows], chosen)
-    twins = [(f, t) for f, _, t in rows if t is not None]
-    left = hashed.design([f for f, _ in twins], chosen)
-    right = hashed.design([t for _, t in twins], chosen)
+    texts, twins = counterfactuals(rows, groups)
+    left, right = hashed.design(texts, chosen), hashed.design(twins, chosen)
+    own = sum(t is not None for _, _, t in rows)
+    # both kinds of counterfactuals count by their mean, so that mentions put in do not thin out the others
+    share = np.repeat([1 / max(1, own), 1 / max(1, len(twins) - own)], [own, len(twins) - own])
     weights, bias = np.zeros(len(chosen)), float(np.log(rate / (1 - rate)))
     step, bias_step = np.full(len(chosen), 1e-8), 1e-8
     for _ in range(ROUNDS):
@@ -82,7 +113,7 @@ def fit(rows: list[tuple], groups: tuple[tuple[str, ...], ...]) -> tuple[np.ndar
         gradient = np.bincount(column, error[row], len(chosen)) + RIDGE * weights
         if twins:
             change = np.bincount(left[0], weights[left[1]], len(twins)) - np.bincount(right[0], weights[right[1]], len(twins))
-            pull = 2 * FAIRNESS * change / len(twins)
+            pull = 2 * FAIRNESS * change * share
             gradient += np.bincount(left[1], pull[left[0]], len(chosen)) - np.bincount(right[1], pull[right[0]], len(chosen))
         step += gradient * gradient
         bias_step += error.sum() ** 2

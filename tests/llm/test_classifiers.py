@@ -72,6 +72,30 @@ def test_counterfactual_penalty_lowers_the_score_of_neutral_mentions(spark, monk
     assert abs(fair[1] - fair[3]) < abs(plain[1] - plain[3])
 
 
+def test_every_labelled_text_has_a_counterfactual():
+    own = np.array([3, 9])
+    rows = [(own, 1, None), (own, 0, np.array([9, 11])), (own, 0, None), (own, 1, None)]
+    left, right = toxicity.counterfactuals(rows, (("women", "men"),))
+    terms = [hashed.hash_of("women"), hashed.hash_of("men")]
+    assert [x.tolist() for x in left] == [[3, 9], terms[:1], terms[1:], terms[:1]]
+    assert [x.tolist() for x in right] == [[9, 11], terms[1:], terms[:1], terms[1:]]
+    assert toxicity.counterfactuals(rows, ())[0][0] is own and len(toxicity.counterfactuals(rows, ())[0]) == 1
+
+
+def test_neutral_mentions_do_not_make_documents_toxic(spark):
+    """The model of the registered query, on clean documents with a mention of each group put in."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.fitted(docs, labels)
+    clean = [r["text"] for r in docs.join(labels.filter("label = 0"), "doc_id").orderBy("doc_id").limit(60).collect()]
+    terms = [t for g in toxicity.IDENTITY_GROUPS for t in g]
+    made = [(i, f"{text} {terms[i % len(terms)]}") for i, text in enumerate(clean)]
+    with_mention = toxicity.scored(spark.createDataFrame(made, SCHEMA), model)
+    without = toxicity.scored(spark.createDataFrame(list(enumerate(clean)), SCHEMA), model)
+    one, other = ({r["doc_id"]: r["score"] for r in x.collect()} for x in (with_mention, without))
+    assert max(abs(one[i] - other[i]) for i in one) < 0.02
+
+
 def test_swap():
     swap = toxicity.Swap((("women", "men"),))
     assert swap("Women met men; amended.") == "Men met women; amended." and swap("omen") is None

@@ -154,3 +154,21 @@ def test_plan_holds_every_piece(items):
     placed = [n for pattern, times in plan for n, k in pattern.items() for _ in range(k * times)]
     assert sorted(placed) == sorted(items)
     assert all(sum(n * k for n, k in pattern.items()) <= 50 for pattern, _ in plan)
+
+
+# --- dictionaries ----------------------------------------------------------------------
+
+
+def test_small_tables_carry_a_dictionary(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").filter("length(text) < 1500").select("doc_id", F.substring("text", 1, 300).alias("text"))
+    dictionary = token_files.train_dictionary(token_files.dictionary_sample(docs), WORDS, 2)
+    assert token_files.LEAST_DICTIONARY <= len(dictionary) < token_files.DICTIONARY_BYTES
+    assert token_files.train_dictionary([], WORDS, 2) == b""
+
+
+def test_repeated_ids_are_ordered_by_their_text(spark):
+    rows = [(7, f"text {i}") for i in range(40)] + [(None, "b"), (None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    both = [token_files.token_table(docs.repartition(n), WORDS, 2).select("doc_id", "start", "ids_crc32") for n in (1, 5)]
+    order = lambda r: (r[0] is not None, r[1])
+    assert sorted(map(tuple, both[0].collect()), key=order) == sorted(map(tuple, both[1].collect()), key=order)

@@ -81,3 +81,15 @@ def test_a_cut_file_is_refused():
     frame = zstandard.compress(b"WARC/1.1\r\n" * 50)
     with pytest.raises(ValueError):
         list(warc.read_records(io.BytesIO(warc.dictionary_frame(b"") + frame[:-4])))
+
+
+def test_small_tables_carry_a_dictionary(spark):
+    """The archives of the smallest given table, which once had none."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    records = [(r["html"] or "").encode() for r in pages.select("html").collect()]
+    dictionary = warc.train_dictionary(records)
+    assert warc.LEAST_DICTIONARY <= len(dictionary) <= sum(map(len, records)) // 8
+    shared = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(dictionary))
+    plain = zstandard.ZstdCompressor()
+    assert sum(len(shared.compress(r)) for r in records) < sum(len(plain.compress(r)) for r in records)
+    assert warc.train_dictionary([]) == b"" and isinstance(warc.train_dictionary([b"a"] * 3), bytes)
