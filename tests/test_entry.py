@@ -11,7 +11,7 @@ SF_DIR = "/root/testdata/sf0.001"
 # One query per family; ALL_QUERIES=1 runs every one.
 SAMPLE = (
     "rows_per_report_90d", "grain_check", "null_profile", "top_beats", "rows_per_report_describe", "normalize_rows",
-    "first_violation", "staging_counts", "csv_scan", "header_check", "response_split", "batch_envelope",
+    "first_violation", "staging_counts", "csv_scan", "row_numbers", "load_job_refusals", "document_features", "header_check", "response_split", "batch_envelope",
     "observation_flatten", "feature_rules", "beat_consolidation", "nearest_of_listed", "beat_union", "beat_point",
 )
 NAMES = sorted(ORACLE) if os.environ.get("ALL_QUERIES") else SAMPLE
