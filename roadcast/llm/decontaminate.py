@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadcast.llm.common import regrouped, spread
+from roadcast.llm.common import let_go, regrouped, spread
 from roadcast.llm.fm_index import FmIndex
 
 WINDOW = 10
@@ -173,6 +173,7 @@ def scan(
     schema = T.StructType([*rows.schema.fields, *RESULT.fields])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in regrouped(batches, text_column, SHARD_BYTES):
             found = scan_batch(batch.column(text_column).to_pylist(), [Phrases(*b.value) for b in blocks])
             columns = [pa.array(found[n], kind) for n, kind in _ARROW_RESULT.items()]

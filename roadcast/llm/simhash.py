@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadcast.llm.common import spread, stored
+from roadcast.llm.common import let_go, spread, stored
 from roadcast.operators.components import component_labels
 
 HASH_SEED = 42
@@ -95,6 +95,7 @@ def fingerprints(
     names = ["doc_id", *keep]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             prints = [simhash(shingle_hashes(t.as_py(), shingle), lanes) for t in batch.column("text")]
             kept = [batch.column(c) for c in names]

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadcast.llm.common import regrouped, spread, stored
+from roadcast.llm.common import let_go, regrouped, spread, stored
 from roadcast.llm.suffix_array import permuted_common_prefixes, suffix_array
 
 LENGTH = 50
@@ -68,6 +68,7 @@ def packs(docs: DataFrame) -> DataFrame:
     """``pack, n_bytes, rows``: whole documents with all columns, as compressed Arrow streams sorted by id."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         options = pa.ipc.IpcWriteOptions(compression="zstd")
         for number, batch in enumerate(regrouped(batches, "text", PACK_BYTES)):
             batch = batch.take(pc.sort_indices(batch.column("doc_id"), null_placement="at_end"))
@@ -209,6 +210,7 @@ SENT = "shard int, pack long, sent binary"
 
 def sent_keys(table: DataFrame, shards: int, length: int) -> DataFrame:
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for row in batch.to_pylist():
                 found = Pack(row["rows"], length).distinct_keys(shards)
@@ -247,6 +249,7 @@ def _chosen(pack: Pack, row: dict, shards: int, length: int) -> tuple:
 
 def sent_texts(joined: DataFrame, shards: int, length: int) -> DataFrame:
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             for row in batch.to_pylist():
@@ -362,6 +365,7 @@ def cut(joined: DataFrame, fields: T.StructType, shards: int, length: int, as_te
     schema = T.StructType([*fields.fields, *result_fields])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for row in batch.to_pylist():
                 pack = Pack(row["rows"], length)
