@@ -22,6 +22,9 @@ through whatever their names. Empty tables pass through.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -32,6 +35,7 @@ from roadcast.llm.common import fold, stored
 
 LEAST_CONFIDENCE = 0.5
 SHINGLE, MOST_BITS = 3, 2
+BATCH_ROWS = 1000  # of texts between the JVM and Python workers: stages share executors, and long texts add up
 FOLDS, HELD_OUT = 4, 2  # crc32 of the id: the language model never sees this part's labels
 TOKENS, END_ID = 2048, 0
 ORACLE_SQL = None  # SQL has neither the models nor the tokenizer; tests/llm/test_pipeline.py tests each stage
@@ -53,11 +57,25 @@ def unwrapped(rows: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
     return whole.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
 
 
+def in_small_batches(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage, run with at most ``BATCH_ROWS`` rows in an Arrow batch. The setting stays, as results are lazy."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    @wraps(stage)
+    def of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+            spark.conf.set(setting, str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return of
+
+
 def left_over(changed: Column, text: Column) -> Column:
     """Whether a document stays: unchanged ones do, changed ones if a letter or digit is left."""
     return ~changed | text.rlike(r"[\p{L}\p{N}]")
 
 
+@in_small_batches
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.fitted(docs.select("doc_id", "text", "lang").filter(fold("doc_id", FOLDS) != HELD_OUT))
     if model is None:
@@ -67,6 +85,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return unwrapped(kept, docs, F.col("text"))
 
 
+@in_small_batches
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row is known by two hashes of all its columns; the groups' chosen rows are joined back by them.
 
@@ -85,18 +104,21 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return unwrapped(once, docs, F.col("text"))
 
 
+@in_small_batches
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = substring_dedup.deduplicated(wrapped(docs, "doc_id", "text"), as_text=True)
     text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept"))
     return unwrapped(found.filter(left_over(F.col("n_removed") > 0, text)), docs, text)
 
 
+@in_small_batches
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(wrapped(docs, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     text = decontaminate.without_spans(F.col("text"), F.col("spans"))
     return unwrapped(found.filter(left_over(F.col("n_hit") > 0, text)), docs, text)
 
 
+@in_small_batches
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     pieces = packing.packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), END_ID, TOKENS)
     return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
