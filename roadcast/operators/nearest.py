@@ -23,9 +23,10 @@ MAX_INLINE_STATIONS = 2_000
 # spans at most the arc 2 r asin(c / 2 r) (Schur's comparison theorem).
 TIGHTEST_RADIUS = 6.33e6
 FAR = 4.0e7  # longer than any geodesic
-# Earth-centred cubes of 2**(24 - level) metres: 4194 km down to 64 m. A cube of one
-# level holds 16**3 of the next, and the top level has 4**3 in all.
-LEVELS = (2, 6, 10, 14, 18)
+# Earth-centred cubes of 2**(24 - level) metres: 4194 km down to 25 cm, each 8 of the next level's.
+LEVELS = range(2, 27)
+# A cube of points whose stations that can be nearest are this few gets them as one array.
+FEW_STATIONS = 128
 _OFFSET, _SPAN = float(1 << 23), 24
 
 
@@ -90,112 +91,164 @@ def nearest_station(
     )
 
 
-def _from_array(points: DataFrame, stations: DataFrame, lat: str, lon: str) -> DataFrame:
-    """All stations as one array in the plan (a scalar subquery): no join, no shuffle of points."""
-    entry = F.struct(
+def _entry() -> Column:
+    return F.struct(
         "ordinal", "station_id", "name", "location", "lat", "lon", _xyz(F.col("lat"), F.col("lon")).alias("at")
     )
-    table = stations.agg(F.array_sort(F.collect_list(entry))).scalar()
+
+
+def _best(candidates: Column, lat: str, lon: str) -> Column:
+    """The nearest of an array of stations to the point of the row, whose place is ``_at``."""
 
     def measured(station: Column) -> Column:
         km = geodesic_km(F.col(lat), F.col(lon), station["lat"], station["lon"])
         return F.struct(F.coalesce(km, F.lit(FAR)).alias("km"), station["ordinal"].alias("ordinal"), station.alias("s"))
 
-    def best(candidates: Column) -> Column:
-        chords = let(
-            F.col("_at"),
-            lambda at: F.transform(candidates, lambda s: F.struct(_chord(at, s["at"]).alias("chord"), s.alias("s"))),
-        )
-        return let(
-            chords,
-            lambda cs: let(
-                _longest_geodesic(F.array_min(F.transform(cs, lambda c: c["chord"]))),
-                lambda reach: F.array_min(
-                    F.transform(F.filter(cs, lambda c: c["chord"] <= reach), lambda c: measured(c["s"]))
-                ),
+    chords = let(
+        F.col("_at"),
+        lambda at: F.transform(candidates, lambda s: F.struct(_chord(at, s["at"]).alias("chord"), s.alias("s"))),
+    )
+    return let(
+        chords,
+        lambda cs: let(
+            _longest_geodesic(F.array_min(F.transform(cs, lambda c: c["chord"]))),
+            lambda reach: F.array_min(
+                F.transform(F.filter(cs, lambda c: c["chord"] <= reach), lambda c: measured(c["s"]))
             ),
-        )
+        ),
+    )
 
+
+def _from_array(points: DataFrame, stations: DataFrame, lat: str, lon: str) -> DataFrame:
+    """All stations as one array in the plan (a scalar subquery): no join, no shuffle of points."""
+    table = stations.agg(F.array_sort(F.collect_list(_entry()))).scalar()
     located = points.withColumns({"_at": _xyz(F.col(lat), F.col(lon)), "_stations": table})
-    return located.withColumn("nearest", best(F.col("_stations")))
+    return located.withColumn("nearest", _best(F.col("_stations"), lat, lon))
+
+
+def _axes(point: Column, level: int) -> list[Column]:
+    side = 2.0 ** (_SPAN - level)
+    return [F.floor((point[axis] + _OFFSET) / side).alias(axis) for axis in "xyz"]
 
 
 def _cell(point: Column, level: int) -> Column:
-    side = float(1 << (_SPAN - level))
-    return F.struct(*[F.floor((point[axis] + _OFFSET) / side).alias(axis) for axis in "xyz"])
+    return F.struct(*_axes(point, level))
+
+
+def _on_earth(lat: str, lon: str) -> Column:
+    return F.abs(F.col(lat)) + F.abs(F.col(lon)) < float("inf")
 
 
 def _from_cells(points: DataFrame, stations: DataFrame, keys: list[str], lat: str, lon: str) -> DataFrame:
-    """Descend a tree of cubes by equi-joins, keeping cubes that can hold the nearest station.
+    """Descend two trees of cubes together, one of points and one of stations, by equi-joins.
 
-    A cube is kept while its stations' bounding box is no farther than the longest
-    geodesic to a station already known, so the answer is exact for any station list.
+    A cube of points keeps the station cubes of its level that can hold the nearest station
+    of any of its points: those no farther than the longest geodesic from any of them to a
+    station already known. It is opened further until these hold few stations, which then go to
+    its points as one array. So the pairs of cubes grow with the occupied cubes, not with points
+    times cubes, and the answer is exact for any station list.
     """
     sites = checkpointed(
         # of stations at one position only the first listed can win
-        stations.groupBy("lat", "lon")
+        stations.filter(_on_earth("lat", "lon")).groupBy("lat", "lon")
         .agg(F.min(F.struct("ordinal", "station_id", "name", "location")).alias("s"))
-        .withColumn("at", _xyz(F.col("lat"), F.col("lon")))
+        .select("s.*", "lat", "lon")
+        .select(_entry().alias("s"))
     )
-    top = sites.groupBy(_cell(F.col("at"), LEVELS[0]).alias("cell")).agg(*_box())
-    # at most 4**3 cubes on the top level, so this array has a fixed bound
-    roots = top.agg(F.collect_list(F.struct("cell", "low", "high", "some"))).scalar()
-    at_point = points.select(*keys).dropDuplicates(keys)
-    at_point = at_point.select(*keys, _xyz(F.col(lat), F.col(lon)).alias("p"), F.lit(FAR).alias("reach"))
-    frontier = _descend(at_point.withColumn("inner", roots), keys)
-    for parent, level in zip(LEVELS, LEVELS[1:]):
-        boxes = sites.groupBy(
-            _cell(F.col("at"), parent).alias("cell"), _cell(F.col("at"), level).alias("child")
-        ).agg(*_box())
-        # at most 16**3 inner cubes per cube
-        inner = boxes.groupBy("cell").agg(
-            F.collect_list(F.struct(F.col("child").alias("cell"), "low", "high", "some")).alias("inner")
-        )
-        frontier = _descend(frontier.join(inner, "cell").drop("cell"), keys)
-    leaves = sites.select(
-        _cell(F.col("at"), LEVELS[-1]).alias("cell"), "at", "s", F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon")
+    located = points.filter(_on_earth(lat, lon)).select(*keys).dropna().dropDuplicates(keys)
+    located = checkpointed(located.withColumn("_at", _xyz(F.col(lat), F.col(lon))))
+    settled, rest = _descend(located, sites)
+    found = _from_pairs(located, rest, sites, keys, lat, lon)
+    if settled:
+        found = found.unionByName(_from_lists(located, settled, sites, keys, lat, lon))
+    return points.join(found, keys, "left")
+
+
+def _descend(located: DataFrame, sites: DataFrame) -> tuple[dict[int, DataFrame], DataFrame]:
+    """By level the pairs ``block, cell`` of the blocks (cubes of points) with few stations in their cells,
+    and ``block, cell, reach`` of those that still have many on the last level."""
+    pairs, settled = None, {}
+    for level in LEVELS:
+        # the first level has at most 4**3 blocks and cells, all in one cube
+        up = (lambda at: _cell(at, level - 1)) if pairs is not None else (lambda at: F.lit(0))  # noqa: B023
+        blocks = located.groupBy(up(F.col("_at")).alias("block"), _cell(F.col("_at"), level).alias("inner_block"))
+        blocks = blocks.agg(*_box("_at", "p_low", "p_high"))
+        cells = sites.groupBy(up(F.col("s.at")).alias("cell"), _cell(F.col("s.at"), level).alias("inner_cell"))
+        cells = cells.agg(*_box("s.at", "low", "high"), F.min("s.at").alias("some"), F.count("*").alias("n"))
+        if pairs is None:
+            opened = blocks.crossJoin(cells).withColumn("reach", F.lit(FAR))
+        else:
+            opened = pairs.select("block", "cell", "reach").join(blocks, "block").join(cells, "cell")
+        pairs = checkpointed(_pruned(opened.drop("block", "cell")))
+        few = F.col("stations") <= FEW_STATIONS
+        settled[level] = pairs.filter(few).select("block", "cell")
+        pairs = pairs.filter(~few)
+        if pairs.isEmpty():
+            break
+    return {level: kept for level, kept in settled.items() if not kept.isEmpty()}, pairs.select("block", "cell", "reach")
+
+
+def _pruned(opened: DataFrame) -> DataFrame:
+    """``block, cell, reach, stations``: the pairs that can matter, and how many stations the block's cells hold."""
+    block = Window.partitionBy("inner_block")
+    known = F.least("reach", _longest_geodesic(_farthest(F.col("some"), F.col("p_low"), F.col("p_high"))))
+    reached = opened.withColumn("reach", F.min(known).over(block))
+    near = reached.filter(_gap(F.col("p_low"), F.col("p_high"), F.col("low"), F.col("high")) <= F.col("reach"))
+    return near.select(
+        F.col("inner_block").alias("block"), F.col("inner_cell").alias("cell"), "reach", F.sum("n").over(block).alias("stations")
     )
-    km = geodesic_km(F.col(lat), F.col(lon), F.col("s_lat"), F.col("s_lon"))
-    best = (
-        frontier.join(leaves, "cell")
-        .filter(_chord(F.col("p"), F.col("at")) <= F.col("reach"))
-        .select(*keys, F.struct(F.coalesce(km, F.lit(FAR)).alias("km"), "s.ordinal", "s").alias("candidate"))
+
+
+def _from_lists(
+    located: DataFrame, settled: dict[int, DataFrame], sites: DataFrame, keys: list[str], lat: str, lon: str
+) -> DataFrame:
+    """The nearest stations of points in settled blocks: a block's stations are one array of ``FEW_STATIONS`` at most."""
+    lists = reduce(
+        DataFrame.unionByName,
+        [
+            pairs.join(sites.select(_cell(F.col("s.at"), level).alias("cell"), "s"), "cell")
+            .groupBy(F.struct(F.lit(level).alias("level"), *[f"block.{a}" for a in "xyz"]).alias("block"))
+            .agg(F.collect_list("s").alias("_stations"))
+            for level, pairs in settled.items()
+        ],
+    )
+    # the levels share no block of a point: one is opened only where it is not settled
+    own = F.array(*[F.struct(F.lit(level).alias("level"), *_axes(F.col("_at"), level)) for level in settled])
+    placed = located.withColumn("block", F.explode(own)).join(lists, "block")
+    return placed.select(*keys, _best(F.col("_stations"), lat, lon).alias("nearest"))
+
+
+def _from_pairs(
+    located: DataFrame, pairs: DataFrame, sites: DataFrame, keys: list[str], lat: str, lon: str
+) -> DataFrame:
+    """The same for blocks of the last level with more stations: a row for each, so nothing is held together."""
+    last = LEVELS[-1]
+    station = lambda name: F.col("s")[name]
+    km = geodesic_km(F.col(lat), F.col(lon), station("lat"), station("lon"))
+    return (
+        located.withColumn("block", _cell(F.col("_at"), last))
+        .join(pairs, "block")
+        .join(sites.withColumn("cell", _cell(F.col("s.at"), last)), "cell")
+        .filter(_chord(F.col("_at"), station("at")) <= F.col("reach"))
         .groupBy(*keys)
-        .agg(F.min("candidate").alias("nearest"))
+        .agg(F.min(F.struct(F.coalesce(km, F.lit(FAR)).alias("km"), station("ordinal").alias("ordinal"), "s")).alias("nearest"))
     )
-    return points.join(best, keys, "left")
 
 
-def _box() -> list[Column]:
-    corner = lambda agg: F.struct(*[agg(F.col("at")[axis]).alias(axis) for axis in "xyz"])
-    return [corner(F.min).alias("low"), corner(F.max).alias("high"), F.min("at").alias("some")]
+def _box(at: str, low: str, high: str) -> list[Column]:
+    corner = lambda agg: F.struct(*[agg(F.col(at)[axis]).alias(axis) for axis in "xyz"])
+    return [corner(F.min).alias(low), corner(F.max).alias(high)]
 
 
-def _gap(p: Column, low: Column, high: Column) -> Column:
-    """Straight-line distance from a point to a box, 0 inside."""
-    sides = [F.greatest(low[axis] - p[axis], p[axis] - high[axis], F.lit(0.0)) for axis in "xyz"]
+def _length(sides: list[Column]) -> Column:
     return F.sqrt(reduce(lambda total, side: total + side * side, sides, F.lit(0.0)))
 
 
-def _descend(frontier: DataFrame, keys: list[str]) -> DataFrame:
-    """Replace each cube by those ``inner`` cubes that may hold the nearest station.
+def _gap(low: Column, high: Column, other_low: Column, other_high: Column) -> Column:
+    """Straight-line distance between two boxes, 0 where they meet."""
+    return _length([F.greatest(other_low[a] - high[a], low[a] - other_high[a], F.lit(0.0)) for a in "xyz"])
 
-    Most fall away inside the row, before any row is made for them; the rest are
-    measured against the best station known from the point's other cubes.
-    """
-    # `let` computes the point once per row, not once per inner cube
-    closest = let(F.col("p"), lambda p: F.array_min(F.transform("inner", lambda c: _chord(p, c["some"]))))
-    gaps = let(
-        F.col("p"),
-        lambda p: F.transform(
-            "inner", lambda c: F.struct(c["cell"].alias("cell"), _gap(p, c["low"], c["high"]).alias("gap"))
-        ),
-    )
-    carried = [c for c in frontier.columns if c not in ("reach", "inner")]
-    kept = (
-        frontier.select(*carried, "inner", "reach", closest.alias("closest"))
-        .select(*carried, "inner", F.least("reach", _longest_geodesic(F.col("closest"))).alias("reach"))
-        .select(*carried, "reach", F.explode(F.filter(gaps, lambda c: c["gap"] <= F.col("reach"))).alias("c"))
-        .withColumn("reach", F.min("reach").over(Window.partitionBy(*keys)))
-    )
-    return kept.filter(F.col("c.gap") <= F.col("reach")).select(*carried, "reach", "c.cell")
+
+def _farthest(at: Column, low: Column, high: Column) -> Column:
+    """The greatest straight-line distance from a place to a point of a box."""
+    return _length([F.greatest(F.abs(at[a] - low[a]), F.abs(at[a] - high[a])) for a in "xyz"])
