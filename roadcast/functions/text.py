@@ -21,10 +21,19 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def trimmed(text: Column) -> Column:
+    """A CSV cell: line breaks inside it become ``\\n``, ends trimmed."""
+    return strip(F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")))
+
+
+def filled(text: Column) -> Column:
+    """Blank is null."""
+    return F.nullif(text, F.lit(""))
+
+
 def cell(text: Column) -> Column:
     """A CSV cell: line breaks inside it become ``\\n``, ends trimmed, blank is null."""
-    unix = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    return F.nullif(strip(unix), F.lit(""))
+    return filled(trimmed(text))
 
 
 def parse_int(text: Column, sql_type: str = "int") -> Column:

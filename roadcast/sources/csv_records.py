@@ -237,10 +237,12 @@ def records(spark: SparkSession, path: str, states: DataFrame | None) -> DataFra
 
 def cells(record: Column) -> Column:
     """The cells of a record as an array, a character a byte."""
-    found = F.regexp_extract_all(F.concat(_latin(record), F.lit(",")), F.lit(CELLS), F.lit(1))
+    text = _latin(record)
+    found = F.regexp_extract_all(F.concat(text, F.lit(",")), F.lit(CELLS), F.lit(1))
 
     def plain(cell: Column) -> Column:
         body = F.replace(F.regexp_extract(cell, QUOTED, 1), F.lit('""'), F.lit('"'))
         return F.when(F.startswith(cell, F.lit('"')), F.concat(body, F.regexp_extract(cell, QUOTED, 2))).otherwise(cell)
 
-    return F.transform(found, plain)
+    # without a quote every comma ends a cell
+    return F.when(F.contains(record, F.lit(b'"')), F.transform(found, plain)).otherwise(F.split(text, ",", -1))
