@@ -17,7 +17,7 @@ def suffix_order(symbols: np.ndarray) -> np.ndarray:
         after = np.zeros(n, np.int64)
         after[: n - width] = rank[width:] + 1
         key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # equal keys share a rank, so their order is free
         found = key[order]
         rank[order] = np.concatenate(([0], np.cumsum(found[1:] != found[:-1])))
         width *= 2

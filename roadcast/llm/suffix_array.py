@@ -105,7 +105,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     n = len(s)
     if n == 1:
         return np.zeros(1, np.int32)
-    s = s.astype(np.int32)
+    s = s.astype(np.uint16 if s.max() < 1 << 16 else np.int32)  # numpy sorts numbers of 16 bits by digits
     counts = np.bincount(s)
     stype = suffix_types(s)
     lms = np.flatnonzero(stype[1:] & ~stype[:-1]) + 1
