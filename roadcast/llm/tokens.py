@@ -19,11 +19,59 @@ import numpy as np
 from roadcast.llm.common import kept
 
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
-CUT = re.compile(rf"[ \t\n\r]*[{_LETTER}]+(?=[.,;:|!?])|[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+# possessive: a shorter run of letters ends before a letter, a shorter run of spaces before a space
+CUT = re.compile(rf"[ \t\n\r]*+(?:[{_LETTER}]++(?=[.,;:|!?])|[^ \t\n\r]++)|[ \t\n\r]++")
 #: The same for a tokenizer that drops white space.
-BARE_CUT = re.compile(rf"[{_LETTER}]+(?=[.,;:|!?])|[^ \t\n\r]+")
-RARE_SPACE = re.compile(r"[^\S \t\n\r]")
+BARE_CUT = re.compile(rf"[{_LETTER}]++(?=[.,;:|!?])|[^ \t\n\r]++")
+RARE_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \t\n\r"]
 MEMO_WORDS = 500_000
+JOINED_WORDS = 500
+_SPACES = " \t\n\r"
+
+
+def encoded_words(tokenizer, words: list[str], bytes_of: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """``(ids, lengths)``: the ids of all words in a row, and how many each has.
+
+    A word that begins with white space after one that does not end with it is a cut, so with a byte-level
+    tokenizer (``bytes_of``: the bytes of each id) such words are encoded as one text and its ids dealt by their
+    bytes. A text whose ids do not end where its words end is encoded word by word.
+    """
+    ids: list[list[int]] = [[]] * len(words)
+    alone = list(range(len(words)))
+    if bytes_of is not None:
+        cuts = [i for i, word in enumerate(words) if word[0] in _SPACES and not word[-1].isspace()]
+        groups = [cuts[i : i + JOINED_WORDS] for i in range(0, len(cuts), JOINED_WORDS)]
+        texts = ["".join([words[i] for i in group]) for group in groups]
+        joined = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        done = set()
+        for group, found in zip(groups, joined, strict=True):
+            ends = np.cumsum(bytes_of[found])
+            stops = np.cumsum([len(words[i].encode()) for i in group])
+            at = np.searchsorted(ends, stops)
+            if ends[-1] == stops[-1] and (ends[at] == stops).all():
+                start = 0
+                for i, stop in zip(group, (at + 1).tolist(), strict=True):
+                    ids[i] = found[start:stop]
+                    start = stop
+                done.update(group)
+        alone = [i for i in alone if i not in done]
+    for i, e in zip(alone, tokenizer.encode_batch_fast([words[i] for i in alone], add_special_tokens=False), strict=True):
+        ids[i] = e.ids
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths
+
+
+def byte_lengths(tokenizer) -> np.ndarray | None:
+    """The bytes that each id of a byte-level tokenizer stands for (a character of its entry is a byte); None for others."""
+    from tokenizers import pre_tokenizers
+
+    if not isinstance(tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) or tokenizer.normalizer is not None:
+        return None
+    sizes = {i: len(entry) for entry, i in tokenizer.get_vocab(with_added_tokens=False).items()}
+    sizes |= {i: len(added.content.encode()) for i, added in tokenizer.get_added_tokens_decoder().items()}
+    found = np.zeros(max(sizes, default=0) + 1, np.int64)
+    found[list(sizes)] = list(sizes.values())
+    return found
 
 
 class _Places(dict):
@@ -47,6 +95,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         plain, spaced, space = (self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("a", " \na\t", " \n\t"))
+        self.bytes_of = byte_lengths(self.tokenizer)
         self.cut = BARE_CUT if plain == spaced and not space else CUT
         self._forget()
 
@@ -62,11 +111,9 @@ class WordEncoder:
         self.lengths = np.empty(0, np.int64)
 
     def _learn(self) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(self.places.new, add_special_tokens=False)]
+        flat, lengths = encoded_words(self.tokenizer, self.places.new, self.bytes_of)
         self.places.new = []
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
         starts = len(self.ids) + np.cumsum(lengths) - lengths
-        flat = np.fromiter(chain.from_iterable(encoded), np.uint32, int(lengths.sum()))
         self.ids = np.concatenate([self.ids, flat])
         self.starts = np.concatenate([self.starts, starts])
         self.lengths = np.concatenate([self.lengths, lengths])
@@ -80,7 +127,7 @@ class WordEncoder:
         for text in texts:
             before = len(cuts)
             if text:
-                cuts += [text] if RARE_SPACE.search(text) else self.cut.findall(text)
+                cuts += [text] if any(c in text for c in RARE_SPACES) else self.cut.findall(text)
             counts.append(len(cuts) - before)
         at = np.fromiter(map(self.places.__getitem__, cuts), np.int64, len(cuts))
         if self.places.new:
