@@ -10,8 +10,11 @@ SAMPLE = 8
 def suffix_order(symbols: np.ndarray) -> np.ndarray:
     """Suffix array by rank doubling."""
     n = len(symbols)
-    rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
-    order = np.argsort(rank, kind="stable")
+    if n and 0 <= symbols.min() and symbols.max() < 4 * n:
+        rank = (np.cumsum(np.bincount(symbols) > 0) - 1)[symbols]  # counted, which is cheaper than sorted
+    else:
+        rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
+    order = None
     width = 1
     while n and rank.max() < n - 1:
         after = np.zeros(n, np.int64)
@@ -21,7 +24,7 @@ def suffix_order(symbols: np.ndarray) -> np.ndarray:
         found = key[order]
         rank[order] = np.concatenate(([0], np.cumsum(found[1:] != found[:-1])))
         width *= 2
-    return order
+    return np.argsort(rank) if order is None else order
 
 
 class FmIndex:
